@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filmstrip.llm.leaks import leaks
 from filmstrip.llm.nearest import nearest_pairs
 from filmstrip.llm.runs import collapse_runs, motion_class
 from filmstrip.operators.copies import first_copies
@@ -38,4 +39,8 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return event_keyframes(spark, sf).select(F.col("left_id").alias("event_id"), F.col("right_id").alias("keyframe_id"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_collapsed": p1_collapsed, "p2_found": p2_found}
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return leaks(table(spark, sf, "documents"), table(spark, sf, "kis_queries"), "doc_id", "text", "query_id", "query")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_collapsed": p1_collapsed, "p2_found": p2_found, "p7_found": p7_found}
