@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filmstrip.llm.leaks import leaks
+from filmstrip.llm.levels import levels
+from filmstrip.llm.mix import count_tokens, mix, report
 from filmstrip.llm.nearest import nearest_pairs
 from filmstrip.llm.runs import collapse_runs, motion_class
 from filmstrip.operators.copies import first_copies
-from filmstrip.session import table
+from filmstrip.session import cut, table
 
 
 def motion_runs(spark: SparkSession, sf: str) -> DataFrame:
@@ -43,4 +45,27 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return leaks(table(spark, sf, "documents"), table(spark, sf, "kis_queries"), "doc_id", "text", "query_id", "query")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_collapsed": p1_collapsed, "p2_found": p2_found, "p7_found": p7_found}
+def sized_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return cut(count_tokens(table(spark, sf, "documents"), "text", keep=["doc_id", "source"]))
+
+
+def p8_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    return mix(sized_documents(spark, sf), table(spark, sf, "mix_targets"), "doc_id")
+
+
+def p8_report(spark: SparkSession, sf: str) -> DataFrame:
+    sized, targets = sized_documents(spark, sf), table(spark, sf, "mix_targets")
+    return report(sized, targets, mix(sized, targets, "doc_id"))
+
+
+def p9_levels(spark: SparkSession, sf: str) -> DataFrame:
+    return levels(table(spark, sf, "documents"), table(spark, sf, "level_samples"), "doc_id", "text")
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p9_levels(spark, sf).where("words >= 40 and 2 * hard_words > words").select("doc_id")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_collapsed": p1_collapsed, "p2_found": p2_found, "p7_found": p7_found, "p8_mixture": p8_mixture, "p8_report": p8_report, "p9_levels": p9_levels, "p9_found": p9_found}
+
+SQL: dict[str, str] = {}
