@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filmstrip.session import broadcast_limit
+
 SALT, SALTS = "__salt", "__salts"
 
 
@@ -31,3 +33,11 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "in
     if how in ("left_semi", "left_anti"):
         return joined.select(*mine)
     return joined.select(*mine, *[F.col(f"r.{c}") for c in right.columns if c not in on])
+
+
+def join_small(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """right is counted: up to the session's limit it is broadcast, beyond it the join is a salted one."""
+    limit = broadcast_limit(left.sparkSession)
+    if right.limit(limit + 1).count() <= limit:
+        return left.join(F.broadcast(right), on, how)
+    return salted_join(left, right, on, how)
