@@ -11,7 +11,9 @@ from filmstrip.llm.leaks import leaks
 from filmstrip.llm.levels import levels
 from filmstrip.llm.mix import count_tokens, mix, report
 from filmstrip.llm.nearest import nearest_pairs
+from filmstrip.llm.residue import Linear, residue, train, validate
 from filmstrip.llm.runs import collapse_runs, motion_class
+from filmstrip.llm.subset import varied_subset
 from filmstrip.operators.copies import first_copies
 from filmstrip.session import cut, table
 
@@ -41,6 +43,45 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return event_keyframes(spark, sf).select(F.col("left_id").alias("event_id"), F.col("right_id").alias("keyframe_id"))
 
 
+def residue_model(spark: SparkSession, sf: str) -> Linear:
+    """Captions and actions together; a row's host is the collection of its video."""
+    host = F.split_part("video_id", F.lit("_"), F.lit(1)).alias("host")
+    captions = table(spark, sf, "captions").select(F.col("caption").alias("text"), host)
+    actions = table(spark, sf, "video_events").select(F.col("action").alias("text"), host)
+    return train(captions.unionByName(actions), "text", "host")
+
+
+def described(spark: SparkSession, sf: str) -> DataFrame:
+    captions = first_copies(table(spark, sf, "captions"), ["caption_id", "caption"])
+    actions = first_copies(table(spark, sf, "video_events").where("trim(action) <> ''"), ["id", "action"])
+    return captions.select(F.lit("captions").alias("src_table"), F.col("caption_id").alias("row_id"), F.col("caption").alias("text")).unionByName(
+        actions.select(F.lit("video_events").alias("src_table"), F.col("id").alias("row_id"), F.col("action").alias("text"))
+    )
+
+
+def p3_scored(spark: SparkSession, sf: str) -> DataFrame:
+    """Every caption and action with its score; the tables without residue are the rows with is_residue false."""
+    return residue(described(spark, sf), "row_id", "text", residue_model(spark, sf), keep=["src_table"])
+
+
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p3_scored(spark, sf).where("is_residue").select("src_table", "row_id")
+
+
+def p3_validation(spark: SparkSession, sf: str) -> DataFrame:
+    """How the model does on the weakly labelled parts of collections it has not seen."""
+    host = F.split_part("video_id", F.lit("_"), F.lit(1)).alias("host")
+    captions = table(spark, sf, "captions").select(F.col("caption").alias("text"), host)
+    actions = table(spark, sf, "video_events").select(F.col("action").alias("text"), host)
+    return validate(captions.unionByName(actions), "row_id", "text", "host")
+
+
+def p6_subset(spark: SparkSession, sf: str) -> DataFrame:
+    frames = first_copies(table(spark, sf, "keyframes"), ["id", "keyframe_id", "video_id", "frame_index", "image"])
+    videos = first_copies(table(spark, sf, "videos"), ["video_id", "pick_size"])
+    return varied_subset(frames, videos, "video_id", "keyframe_id", "image", "frame_index", "pick_size")
+
+
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return leaks(table(spark, sf, "documents"), table(spark, sf, "kis_queries"), "doc_id", "text", "query_id", "query")
 
@@ -66,6 +107,6 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return p9_levels(spark, sf).where("words >= 40 and 2 * hard_words > words").select("doc_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_collapsed": p1_collapsed, "p2_found": p2_found, "p7_found": p7_found, "p8_mixture": p8_mixture, "p8_report": p8_report, "p9_levels": p9_levels, "p9_found": p9_found}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_collapsed": p1_collapsed, "p2_found": p2_found, "p3_found": p3_found, "p3_scored": p3_scored, "p3_validation": p3_validation, "p6_subset": p6_subset, "p7_found": p7_found, "p8_mixture": p8_mixture, "p8_report": p8_report, "p9_levels": p9_levels, "p9_found": p9_found}
 
 SQL: dict[str, str] = {}
