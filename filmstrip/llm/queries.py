@@ -12,7 +12,7 @@ from filmstrip.llm.levels import levels
 from filmstrip.llm.mix import count_tokens, mix, report
 from filmstrip.llm.nearest import nearest_pairs
 from filmstrip.llm.residue import Linear, residue, train, validate
-from filmstrip.llm.runs import collapse_runs, motion_class
+from filmstrip.llm.runs import collapse_runs, motion_class, phrases
 from filmstrip.llm.subset import varied_subset
 from filmstrip.operators.copies import first_copies
 from filmstrip.session import cut, table
@@ -109,4 +109,15 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_collapsed": p1_collapsed, "p2_found": p2_found, "p3_found": p3_found, "p3_scored": p3_scored, "p3_validation": p3_validation, "p6_subset": p6_subset, "p7_found": p7_found, "p8_mixture": p8_mixture, "p8_report": p8_report, "p9_levels": p9_levels, "p9_found": p9_found}
 
-SQL: dict[str, str] = {}
+_PHRASES = " UNION ALL ".join(f"SELECT regexp_replace(replace(strip_accents('{p}'), 'đ', 'd'), '[^a-z0-9]+', '', 'g') AS k" for p in phrases())
+_MOTION = f"""m AS (SELECT motion, regexp_replace(replace(strip_accents(lower(motion)), 'đ', 'd'), '[^a-z0-9]+', '', 'g') AS bare FROM video_events WHERE motion IS NOT NULL GROUP BY ALL), p AS ({_PHRASES}),
+    b AS (SELECT motion, bare, min(levenshtein(bare, k)) AS d, arg_min(k, printf('%04d', levenshtein(bare, k)) || k) AS k FROM m CROSS JOIN p GROUP BY 1, 2), c AS (SELECT motion, CASE WHEN bare = '' THEN NULL WHEN d <= greatest(2, floor(length(bare) / 6)) AND length(bare) >= 6 THEN k ELSE bare END AS means FROM b),
+    e AS (SELECT v.*, means FROM (SELECT id, video_id, shot_index, ord_in_shot, motion, start_frame, end_frame FROM video_events WHERE video_id IS NOT NULL AND shot_index IS NOT NULL AND ord_in_shot IS NOT NULL GROUP BY ALL) v LEFT JOIN c USING (motion)),
+    s AS (SELECT *, sum(coalesce((means <> prev)::INT, 1)) OVER w AS run FROM (SELECT *, lag(means) OVER (PARTITION BY video_id, shot_index ORDER BY ord_in_shot, id) AS prev FROM e) WINDOW w AS (PARTITION BY video_id, shot_index ORDER BY ord_in_shot, id ROWS UNBOUNDED PRECEDING)),
+    r AS (SELECT video_id, shot_index, any_value(means) AS run_value, min(ord_in_shot) AS first_ord_in_shot, max(ord_in_shot) AS last_ord_in_shot, count(*) AS events, min(least(start_frame, end_frame)) AS first_frame, max(greatest(start_frame, end_frame)) AS last_frame FROM s GROUP BY video_id, shot_index, run)"""
+SQL: dict[str, str] = {
+    "p1_found": f"WITH {_MOTION} SELECT video_id, shot_index, first_ord_in_shot AS first_ord, last_ord_in_shot AS last_ord FROM r WHERE events >= 2",
+    "p1_collapsed": f"WITH {_MOTION} SELECT *, last_frame - first_frame + 1 AS frames FROM r",
+    "p2_found": """WITH e AS (SELECT id, video_id, anchor_frame FROM video_events WHERE video_id IS NOT NULL AND anchor_frame IS NOT NULL GROUP BY ALL), k AS (SELECT keyframe_id, video_id, frame_idx FROM keyframe_meta WHERE video_id IS NOT NULL AND frame_idx IS NOT NULL GROUP BY ALL)
+    SELECT id AS event_id, arg_min(keyframe_id, abs(frame_idx - anchor_frame) * 100000000 + frame_idx) AS keyframe_id FROM e JOIN k USING (video_id) WHERE abs(frame_idx - anchor_frame) <= 40 GROUP BY 1""",
+}
