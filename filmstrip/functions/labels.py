@@ -17,7 +17,7 @@ PERSON_WORDS = ("người", "đàn ông", "phụ nữ", "cô gái", "chàng trai
 
 def is_error_text(text: Column) -> Column:
     """Null, blank or beginning with a bracket, as failed answers do."""
-    return F.coalesce((F.trim(text) == "") | F.trim(text).startswith("["), F.lit(True))
+    return F.coalesce(text.rlike(r"^\s*(\[|\z)"), F.lit(True))
 
 
 def label_slots(raw: Column, n: Column) -> Column:

@@ -68,5 +68,5 @@ def pooled(rows: Column, mask: Column) -> Column:
     """The unit-length mean of the rows (arrays) whose mask isn't 0."""
     kept = F.filter(F.arrays_zip(rows.alias("r"), mask.alias("m")), lambda x: x["m"] != 0)
     n = F.greatest(F.size(kept), F.lit(1))
-    summed = F.aggregate(kept, F.transform(F.element_at(rows, 1), lambda x: F.lit(0.0)), lambda acc, x: F.zip_with(acc, x["r"], lambda p, q: p + q))
+    summed = F.aggregate(kept, F.transform(F.try_element_at(rows, F.lit(1)), lambda x: F.lit(0.0)), lambda acc, x: F.zip_with(acc, x["r"], lambda p, q: p + q))
     return normalised(F.transform(summed, lambda x: x / n))

@@ -38,7 +38,7 @@ def changed_from_last(df: DataFrame, apart: Callable[[Column, Column], Column],
     `most` items at most, if given."""
 
     def differs(kept: Column, x: Column) -> Column:
-        last = F.element_at(kept, -1)
+        last = F.try_element_at(kept, F.lit(-1))
         test = apart(last, x) > threshold
         if gap is not None:
             test &= gap(last, x) >= min_gap
@@ -94,7 +94,7 @@ def fill_gaps(kept: Column, candidates: Column, max_gap: Column | float) -> Colu
         inside = F.filter(candidates, lambda c: (c > a) & (c < b))
 
         def step(out: Column, _: Column) -> Column:
-            last = F.coalesce(F.element_at(out, -1), a)
+            last = F.coalesce(F.try_element_at(out, F.lit(-1)), a)
             rest = F.filter(inside, lambda c: c > last)
             best = F.array_min(F.transform(rest, lambda c: F.struct(F.abs(c - last - max_gap).alias("d"), c.alias("c"))))["c"]
             return F.when((b - last > max_gap) & best.isNotNull(), F.concat(out, F.array(best))).otherwise(out)
@@ -112,7 +112,7 @@ def arc_targets(cumulative: Column, n: Column, min_gap: Column | float) -> Colum
     size = F.size(cumulative)
     targets = F.transform(F.sequence(F.lit(0), n - 1), lambda k: total * k / F.greatest(n - 1, F.lit(1)))
     found = F.transform(targets, lambda t: F.size(F.filter(cumulative, lambda c: c < t)))
-    thin = F.aggregate(found, F.array().cast("array<int>"), lambda kept, i: F.when((i < size) & ((F.size(kept) == 0) | (i - F.element_at(kept, -1) >= min_gap)), F.concat(kept, F.array(i))).otherwise(kept))
+    thin = F.aggregate(found, F.array().cast("array<int>"), lambda kept, i: F.when((i < size) & ((F.size(kept) == 0) | (i - F.try_element_at(kept, F.lit(-1)) >= min_gap)), F.concat(kept, F.array(i))).otherwise(kept))
     return F.array_sort(F.array_distinct(F.concat(thin, F.array(size - 1))))
 
 

@@ -54,7 +54,7 @@ def bm25(docs: DataFrame, queries: DataFrame, doc_id: str, fields: list[str], qu
     weighed = weighed.select("field", "term", "doc_id", gain.alias("gain"))
     scored = weighed.join(F.broadcast(asked) if small else asked, "term").groupBy("query_id", "field", "doc_id").agg(F.sum("gain").alias("s"))
     best = scored.groupBy("query_id", "doc_id").agg(F.max("s").alias("score"))
-    return top_per_key(best, ["query_id"], [F.desc("score"), F.asc("doc_id")], top)
+    return top_per_key(best, ["query_id"], [F.desc(F.round("score", 9)), F.asc("doc_id")], top)  # sums differ in their last digits
 
 
 def top_per_key(df: DataFrame, key: list[str], order: list[Column], top: int) -> DataFrame:

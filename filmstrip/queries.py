@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filmstrip import catalog
 from filmstrip.operators.copies import first_copies
 from filmstrip.operators.intervals import sweep
 from filmstrip.operators.orphans import REF, Orphans, references, replay, targets
@@ -52,5 +53,25 @@ def p5_report(spark: SparkSession, sf: str) -> DataFrame:
     return event_orphans(spark, sf).snapshot()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p4_found": p4_found, "p4_periods": p4_periods, "p5_found": p5_found, "p5_report": p5_report}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = catalog.QUERIES | {"p4_found": p4_found, "p4_periods": p4_periods, "p5_found": p5_found, "p5_report": p5_report}
+
+_EVENTS = "(SELECT id, video_id, shot_index, start_frame, end_frame FROM video_events GROUP BY ALL)"
+_PERIODS = f"""e AS (SELECT * FROM {_EVENTS} WHERE video_id IS NOT NULL AND shot_index IS NOT NULL AND start_frame IS NOT NULL AND end_frame >= start_frame),
+    b AS (SELECT *, max(end_frame) OVER (PARTITION BY video_id, shot_index ORDER BY start_frame, end_frame, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM e),
+    g AS (SELECT *, sum((reach IS NULL OR start_frame > reach + 1)::INT) OVER (PARTITION BY video_id, shot_index ORDER BY start_frame, end_frame, id ROWS UNBOUNDED PRECEDING) AS period FROM b),
+    p AS (SELECT video_id, shot_index, period, min(start_frame) AS s, max(end_frame) AS t, bool_or(reach >= start_frame) AS shared FROM g GROUP BY 1, 2, 3)"""
+_ORPHANS = """e AS (SELECT id, video_id, shot_index, min(written_at) AS w FROM video_events GROUP BY ALL), c AS (SELECT caption_id, video_id, shot_index, min(written_at) AS w FROM captions GROUP BY ALL),
+    v AS (SELECT video_id, deleted_at, min(written_at) AS w FROM videos GROUP BY ALL), s AS (SELECT id, video_id, shot_index, deleted_at, min(written_at) AS w FROM shots GROUP BY ALL),
+    o AS (SELECT 'video_events' AS child_table, id AS child_id, 'video_id' AS ref_field, w FROM e WHERE video_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM v WHERE v.video_id = e.video_id AND v.w <= e.w + INTERVAL 48 HOUR AND (v.deleted_at IS NULL OR v.deleted_at > e.w))
+    UNION ALL SELECT 'video_events', id, 'shot_index', w FROM e WHERE video_id IS NOT NULL AND shot_index IS NOT NULL AND NOT EXISTS (SELECT 1 FROM s WHERE s.video_id = e.video_id AND s.shot_index = e.shot_index AND s.w <= e.w + INTERVAL 48 HOUR AND (s.deleted_at IS NULL OR s.deleted_at > e.w))
+    UNION ALL SELECT 'captions', caption_id, 'shot_index', w FROM c WHERE video_id IS NOT NULL AND shot_index IS NOT NULL AND NOT EXISTS (SELECT 1 FROM s WHERE s.video_id = c.video_id AND s.shot_index = c.shot_index AND s.w <= c.w + INTERVAL 48 HOUR AND (s.deleted_at IS NULL OR s.deleted_at > c.w)))"""
+SQL: dict[str, str] = catalog.SQL | {
+    "p4_found": f"""WITH {_PERIODS} SELECT 'merged' AS kind, video_id, shot_index, s AS start_frame, t AS end_frame FROM p WHERE shared
+    UNION ALL SELECT 'gap', video_id, shot_index, t + 1, n - 1 FROM (SELECT *, lead(s) OVER (PARTITION BY video_id, shot_index ORDER BY s) AS n FROM p) WHERE n IS NOT NULL""",
+    "p4_periods": f"""WITH e AS (SELECT * FROM {_EVENTS} WHERE video_id IS NOT NULL AND shot_index IS NOT NULL AND start_frame IS NOT NULL AND end_frame >= start_frame),
+    d AS (SELECT video_id, shot_index, pos, sum(d) AS d FROM (SELECT video_id, shot_index, start_frame AS pos, 1 AS d FROM e UNION ALL SELECT video_id, shot_index, end_frame + 1, -1 FROM e) GROUP BY 1, 2, 3 HAVING sum(d) <> 0),
+    n AS (SELECT *, sum(d) OVER w AS n FROM d WINDOW w AS (PARTITION BY video_id, shot_index ORDER BY pos)), k AS (SELECT *, sum((n = d AND d > 0)::INT) OVER (PARTITION BY video_id, shot_index ORDER BY pos) AS period, lead(pos) OVER (PARTITION BY video_id, shot_index ORDER BY pos) AS nx FROM n)
+    SELECT 'period' AS kind, video_id, shot_index, min(pos) AS start_frame, max(pos) - 1 AS end_frame, max(n) AS depth FROM k GROUP BY video_id, shot_index, period UNION ALL SELECT 'gap', video_id, shot_index, pos, nx - 1, 0 FROM k WHERE n = 0 AND nx IS NOT NULL""",
+    "p5_found": f"WITH {_ORPHANS} SELECT child_table, child_id, ref_field FROM o",
+    "p5_report": f"WITH {_ORPHANS} SELECT child_table, ref_field, date_trunc('month', w) AS month, count(*) AS orphans FROM o GROUP BY 1, 2, 3",
+}

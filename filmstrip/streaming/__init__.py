@@ -1 +1 @@
-"""See the modules of this package."""
+"""Structured Streaming: windowed rates, sessions, quota state, and micro-batches for the batch operators."""
