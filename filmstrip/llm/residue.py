@@ -47,7 +47,7 @@ def hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     length, the shares of capitals, digits, marks and capitalised words, and whether it ends like a sentence."""
     plain = [re.sub(r"\d", "0", f"\x02{folded(t)}\x03") for t in texts]
     raw = [p.encode() for p in plain]
-    size = np.array([len(r) for r in raw])
+    size = np.array([len(r) for r in raw], np.int64)
     line = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64)
     grams, owners = [], []
     owner = np.repeat(np.arange(len(texts)), size)
@@ -75,12 +75,13 @@ def hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Linear:
     """Logistic regression on hashed n-grams, with a squared penalty on its weights; full gradients, adapted steps."""
 
-    def __init__(self, texts: list[str], labels: list[int], penalty: float = 2e-5, rounds: int = 80, step: float = 0.3) -> None:
+    def __init__(self, texts: list[str] = (), labels: list[int] = (), counts: list[int] = (), penalty: float = 1e-5, rounds: int = 120, step: float = 0.3) -> None:
         flat, whose, dense = hashed(texts)
         kind = np.array(labels, int)
         y, each = (kind == 1).astype(float), np.zeros(len(kind))
         for label, weight in ((0, 0.25), (1, 0.5), (2, 0.25)):
-            each[kind == label] = weight / max((kind == label).sum(), 1)
+            part = np.log1p(np.array(counts, float)) * (kind == label)  # what is common weighs more, but not as much more
+            each += weight * part / max(part.sum(), 1e-9)
         self.w, self.d, self.b = np.zeros(1 << BITS), np.zeros(DENSE), 0.0
         gw, gd, gb = np.full(1 << BITS, 1e-8), np.full(DENSE, 1e-8), 1e-8
         for _ in range(rounds):
@@ -103,19 +104,21 @@ class Linear:
 
 
 def labelled_parts(df: DataFrame, text: str, host: str) -> DataFrame:
-    """part, label (as weak_label gives it) and host of the distinct parts of all texts that have a weak label."""
+    """part, label (as weak_label gives it), seen and n of the distinct parts of all texts that have a weak label; parts
+    that differ in digits alone are one, n is how often it occurs, and seen whether a host of the training set has it.
+    Each part is labelled once, before the shuffle."""
     each = df.select(F.col(host).alias("host"), F.explode(parts_column(F.col(text))).alias("part"))
-    each = each.groupBy("part").agg(F.min("host").alias("host"))
-    return each.withColumn("label", weak_label(F.col("part"))).dropna(subset=["part", "label"])
+    each = each.select("host", "part", weak_label(F.col("part")).alias("label"), F.regexp_replace("part", r"\d", "0").alias("shape"))
+    rows = each.groupBy("shape").agg(F.min("part").alias("part"), F.bool_or(~F.coalesce(unseen(F.col("host")), F.lit(False))).alias("seen"), F.min("label").alias("label"), F.count(F.lit(1)).alias("n"))
+    return rows.drop("shape").dropna(subset=["label"])
 
 
-def sample(parts_df: DataFrame, most: int) -> list[tuple[str, int]]:
-    """At most `most` parts of each label, those with the least hash, on the driver."""
-    out = []
-    for label in (0, 1, 2):
-        rows = parts_df.where(F.col("label") == label).orderBy(F.xxhash64("part"), "part").limit(most).collect()
-        out += [(r.part, r.label) for r in rows]
-    return out
+def sample(parts_df: DataFrame, most: int) -> list[tuple[str, int, int]]:
+    """At most `most` parts of each label, those with the least hash, on the driver. One job: the labels' branches share
+    the shuffled parts."""
+    branches = [parts_df.where(F.col("label") == label).orderBy(F.xxhash64("part"), "part").limit(most).select("part", "label", "n") for label in (0, 1, 2)]
+    rows = branches[0].unionByName(branches[1]).unionByName(branches[2]).withColumn("h", F.xxhash64(F.lit("mix"), "part")).collect()
+    return [(r.part, r.label, r.n) for r in sorted(rows, key=lambda r: (r.h, r.part))]
 
 
 def unseen(host: Column, share: int = 5) -> Column:
@@ -123,14 +126,15 @@ def unseen(host: Column, share: int = 5) -> Column:
     return F.pmod(F.xxhash64(host), F.lit(share)) == 0
 
 
-def train(df: DataFrame, text: str, host: str, most: int = 20_000) -> Linear:
+def train(df: DataFrame, text: str, host: str, most: int = 12_000) -> Linear:
     """A model of the weak labels, fitted on the driver to at most `most` distinct parts of each label from four fifths
     of the hosts. Residue is also shown before and after a description, as it may be a part of a text. Without residue
     there is nothing to learn, and the model finds nothing."""
-    rows = sample(labelled_parts(df, text, host).where(~F.coalesce(unseen(F.col("host")), F.lit(False))), most)
-    plain, odd = [t for t, y in rows if y == 0], [t for t, y in rows if y == 1]
-    mixed = [f(p, o) for o, p in zip(odd, plain * (len(odd) // max(len(plain), 1) + 1)) for f in (lambda p, o: f"{o} {p}", lambda p, o: f"{p} {o}")]
-    return Linear([t for t, _ in rows] + mixed, [y for _, y in rows] + [1] * len(mixed))
+    rows = sample(labelled_parts(df, text, host).where("seen"), most)
+    plain, odd = [t for t, y, _ in rows if y == 0], [(t, n) for t, y, n in rows if y == 1]
+    pairs = list(zip(odd, plain * (len(odd) // max(len(plain), 1) + 1)))
+    mixed = [(text, 1, n) for (o, n), p in pairs for text in (f"{o} {p}", f"{p} {o}")]
+    return Linear(*map(list, zip(*rows, *mixed)))
 
 
 def residue(df: DataFrame, row_id: str, text: str, model: Linear, keep: list[str] | None = None) -> DataFrame:
@@ -161,9 +165,10 @@ def residue(df: DataFrame, row_id: str, text: str, model: Linear, keep: list[str
     return rows.mapInArrow(run, f"{schema}, score double, is_residue boolean")
 
 
-def validate(df: DataFrame, row_id: str, text: str, host: str, most: int = 20_000) -> DataFrame:
-    """Per label: parts, found (scored above a half) and share, over all weakly labelled parts of the unseen hosts."""
+def validate(df: DataFrame, row_id: str, text: str, host: str, most: int = 12_000) -> DataFrame:
+    """Per label: parts, found (scored above a half) and share, over all weakly labelled parts that only unseen hosts
+    have."""
     model = train(df, text, host, most)
-    held = labelled_parts(df, text, host).where(unseen(F.col("host")))
+    held = labelled_parts(df, text, host).where("not seen")
     scored = residue(held, "part", "part", model, keep=["label"])
     return scored.groupBy(F.when(F.col("label") == 0, "plain").when(F.col("label") == 1, "residue").otherwise("reported").alias("label")).agg(F.count(F.lit(1)).alias("parts"), F.sum(F.col("is_residue").cast("long")).alias("found"), F.avg(F.col("is_residue").cast("double")).alias("share"))
