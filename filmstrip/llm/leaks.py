@@ -61,7 +61,7 @@ def window_keys(typed: np.ndarray) -> np.ndarray:
 
 def shared_stretch(query: list[int], doc: list[int], at: int, least: int, per: int) -> bool:
     """Whether doc near `at` (where the query would begin) has `least` or more consecutive query words, with at most
-    one word put in or exchanged for each `per` words of the stretch.
+    one word put in or exchanged for each `per` words of the stretch, which begins and ends with equal words.
 
     Maximal equal runs are chained: between two runs the doc may have as many words as the query, or more.
     """
