@@ -5,29 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filmstrip.session import broadcast_limit
+from filmstrip.session import broadcast_limit, cut
 
 SALT, SALTS = "__salt", "__salts"
 
 
+def fits(df: DataFrame) -> bool:
+    """Whether df has few enough rows to be broadcast; it is counted up to the session's limit."""
+    limit = broadcast_limit(df.sparkSession)
+    return df.limit(limit + 1).count() <= limit
+
+
 def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", condition: Column | None = None, rows: int = 200_000) -> DataFrame:
     """Joins on equal keys, with left's hot keys (more than `rows` rows) split into salts and right's rows of them repeated.
 
-    how: inner, left, left_semi or left_anti; condition may name left columns by "l.x" and right ones by "r.x". At most
-    (rows of left) / `rows` keys can be hot; that table goes through an ordinary join, which broadcasts it if it is small.
+    how: inner, left, left_semi or left_anti; condition may name left columns by "l.x" and right ones by "r.x". Left's
+    keys are counted in a pass of their own, combined before its shuffle. If none is hot, the join is a plain one. The
+    hot keys are at most (rows of left) / `rows`; their table is broadcast if it is within the session's limit, so that
+    left isn't shuffled by key to learn its salts, and joined like any other table beyond it.
     """
     hot = left.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > rows)
-    hot = hot.select(*on, F.ceil(F.col("__rows") / rows).cast("int").alias(SALTS))
-    some_salt = F.pmod(F.xxhash64(*left.columns), F.coalesce(SALTS, F.lit(1))).cast("int")
-    a = left.join(hot, on, "left").withColumn(SALT, some_salt).drop(SALTS)
-    all_salts = F.explode(F.sequence(F.lit(0), F.coalesce(SALTS, F.lit(1)) - 1))
-    b = right.join(hot, on, "left").withColumn(SALT, all_salts).drop(SALTS)
+    hot = cut(hot.select(*on, F.ceil(F.col("__rows") / rows).cast("int").alias(SALTS)))
+    a, b, keys = left, right, list(on)
+    if not hot.isEmpty():
+        spread = F.broadcast(hot) if fits(hot) else hot
+        some_salt = F.pmod(F.xxhash64(*left.columns), F.coalesce(SALTS, F.lit(1))).cast("int")
+        all_salts = F.explode(F.sequence(F.lit(0), F.coalesce(SALTS, F.lit(1)) - 1))
+        a = left.join(spread, on, "left").withColumn(SALT, some_salt).drop(SALTS)
+        b = right.join(spread, on, "left").withColumn(SALT, all_salts).drop(SALTS)
+        keys.append(SALT)
     a, b = a.alias("l"), b.alias("r")
-    test = F.col(f"l.{SALT}") == F.col(f"r.{SALT}")
-    for k in on:
-        test &= F.col(f"l.{k}") == F.col(f"r.{k}")
-    if condition is not None:
-        test &= condition
+    test = condition
+    for k in keys:
+        equal = F.col(f"l.{k}") == F.col(f"r.{k}")
+        test = equal if test is None else equal & test
     joined = a.join(b, test, how)
     mine = [F.col(f"l.{c}") for c in left.columns]
     if how in ("left_semi", "left_anti"):
@@ -37,7 +48,4 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "in
 
 def join_small(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """right is counted: up to the session's limit it is broadcast, beyond it the join is a salted one."""
-    limit = broadcast_limit(left.sparkSession)
-    if right.limit(limit + 1).count() <= limit:
-        return left.join(F.broadcast(right), on, how)
-    return salted_join(left, right, on, how)
+    return left.join(F.broadcast(right), on, how) if fits(right) else salted_join(left, right, on, how)
