@@ -86,8 +86,8 @@ def filled_gaps(t: Tables) -> DataFrame:
     """Keyframes that differ, and between them further ones where more than two seconds would be left empty. Tested
     against a plain loop."""
     rows = folds.distinct_from_all(scenes(t), _apart, 0.5)
-    kept, everything = F.array_sort(F.array_distinct(F.transform("kept", lambda x: x["f"]))), F.array_distinct(F.transform("items", lambda x: x["f"]))
-    return rows.select(*_KEY, F.array_join(folds.fill_gaps(kept, everything, 60).cast("array<string>"), ",").alias("frames"))
+    filled = folds.fill_gaps(F.col("kept"), F.col("items"), 60, lambda x: x["f"], _apart, 0.02, anchor_last=True)
+    return rows.select(*_KEY, F.array_join(F.transform(filled, lambda x: x["f"].cast("string")), ",").alias("frames"))
 
 
 @query()

@@ -90,7 +90,7 @@ def boundary_peaks(t: Tables) -> DataFrame:
 def steep_keyframes(t: Tables) -> DataFrame:
     """The samples where sizes change most, and one in each window without any."""
     g = t.kf.dropna(subset=["video_id", "frame_idx"]).select("video_id", "frame_idx", (F.length("keyframe_path") * 1000 + F.col("frame_idx") % 997).cast("double").alias("size"))
-    return W.dake(g, ["video_id"], "frame_idx", "size", 0.02, 20)
+    return W.steepest(g, ["video_id"], "frame_idx", "size", 0.02, 20)
 
 
 @query("""SELECT event_id, sum(n) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS visit FROM (SELECT event_id, user_id, ts, coalesce((epoch_us(ts) / 1e6::DOUBLE - epoch_us(lag(ts) OVER w) / 1e6::DOUBLE > 86400)::INT, 0) AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts))""")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from filmstrip.operators.joins import bins
+
 
 def align(df: DataFrame, key: list[str], pos: str, sims: str, phases: int, min_gap: int = 1, penalty: float = 0.0) -> DataFrame:
     """key, path, score: positions, one per phase and each at least min_gap after the last, with the greatest sum of
@@ -26,10 +28,13 @@ def align(df: DataFrame, key: list[str], pos: str, sims: str, phases: int, min_g
 
 
 def snap_to_apex(centres: DataFrame, flow: DataFrame, key: str, centre: str, frame: str, mag: str, radius: int) -> DataFrame:
-    """centres with apex: the frame of the greatest magnitude within radius (the first of several), or the centre itself."""
-    f = flow.select(F.col(key).alias("__k"), F.col(frame).alias("__f"), F.col(mag).alias("__m")).dropna()
-    c = centres.withColumn("__row", F.monotonically_increasing_id())
-    near = c.join(f, (F.col(key) == F.col("__k")) & F.col("__f").between(F.col(centre) - radius, F.col(centre) + radius), "left")
+    """centres with apex: the frame of the greatest magnitude within radius (the first of several), or the centre itself.
+    Joined by key and bin of twice the radius, so a centre meets only the flow of two bins or three."""
+    width = 2 * radius + 1
+    f = flow.select(F.col(key).alias("__k"), F.col(frame).alias("__f"), F.col(mag).alias("__m"), F.floor(F.col(frame) / width).alias("__fbin")).dropna()
+    lo, hi = F.col(centre) - radius, F.col(centre) + radius
+    c = centres.withColumn("__row", F.monotonically_increasing_id()).withColumn("__bin", F.explode_outer(bins(lo, hi, width)))
+    near = c.join(f, (F.col(key) == F.col("__k")) & (F.col("__bin") == F.col("__fbin")) & F.col("__f").between(lo, hi), "left")
     best = F.max(F.when(F.col("__m").isNotNull(), F.struct("__m", (-F.col("__f")).alias("n"))))
     return near.groupBy("__row", *centres.columns).agg(best.alias("__b")).select(*centres.columns, F.coalesce(-F.col("__b.n"), F.col(centre)).alias("apex"))
 

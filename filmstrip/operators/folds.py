@@ -84,25 +84,36 @@ def suppressed(df: DataFrame, at: Callable[[Column], Column], min_gap: float | C
     return df.withColumn("kept", F.when(F.lit(most) > 0, _keep(F.col("items"), kind_of(df), differs)).otherwise(F.array().cast(f"array<{kind_of(df)}>")))
 
 
-def fill_gaps(kept: Column, candidates: Column, max_gap: Column | float) -> Column:
-    """Sorted array of positions: kept with candidates put in, so that no gap is wider than max_gap where a candidate
-    allows it. In a gap, the candidate nearest to the last position plus max_gap is put in (the lower of two), again and
-    again; only candidates inside the gap and after the last position count."""
+def fill_gaps(kept: Column, candidates: Column, max_gap: Column | float, at: Callable[[Column], Column] = lambda x: x, apart: Callable[[Column, Column], Column] | None = None, min_diff: float = 0.0, anchor_last: bool = False) -> Column:
+    """Sorted array: kept with candidates put in, so that no gap is wider than max_gap where a candidate allows it.
+
+    In a gap, the candidate nearest to the last item plus max_gap is put in (the lower of two), again and again; only
+    candidates inside the gap and after the last item count. With apart, a gap is left as it is once that candidate
+    differs from the last item by no more than min_diff. With anchor_last, the last candidate is kept, however alike, if
+    it is more than max_gap after the last kept item. at gives an item's position.
+    """
+    none = F.slice(candidates, 1, 0)
+    if anchor_last:
+        end = F.try_element_at(candidates, F.lit(-1))
+        kept = F.when(at(end) - at(F.try_element_at(kept, F.lit(-1))) > max_gap, F.concat(kept, F.array(end))).otherwise(kept)
 
     def between(a: Column, b: Column) -> Column:
-        """Positions put in between a and b."""
-        inside = F.filter(candidates, lambda c: (c > a) & (c < b))
+        """Items put in between a and b."""
+        inside = F.filter(candidates, lambda c: (at(c) > at(a)) & (at(c) < at(b)))
 
         def step(out: Column, _: Column) -> Column:
             last = F.coalesce(F.try_element_at(out, F.lit(-1)), a)
-            rest = F.filter(inside, lambda c: c > last)
-            best = F.array_min(F.transform(rest, lambda c: F.struct(F.abs(c - last - max_gap).alias("d"), c.alias("c"))))["c"]
-            return F.when((b - last > max_gap) & best.isNotNull(), F.concat(out, F.array(best))).otherwise(out)
+            rest = F.filter(inside, lambda c: at(c) > at(last))
+            best = F.array_min(F.transform(rest, lambda c: F.struct(F.abs(at(c) - at(last) - max_gap).alias("d"), at(c).alias("p"), c.alias("c"))))["c"]
+            wide = (at(b) - at(last) > max_gap) & best.isNotNull()
+            if apart is not None:
+                wide &= F.coalesce(apart(last, best) > min_diff, F.lit(False))
+            return F.when(wide, F.concat(out, F.array(best))).otherwise(out)
 
-        return F.aggregate(inside, F.slice(inside, 1, 0), step)
+        return F.aggregate(inside, none, step)
 
     pairs = F.sequence(F.lit(1), F.size(kept))
-    return F.flatten(F.transform(pairs, lambda i: F.concat(F.array(F.element_at(kept, i)), F.when(i < F.size(kept), between(F.element_at(kept, i), F.element_at(kept, i + 1))).otherwise(F.slice(kept, 1, 0)))))
+    return F.flatten(F.transform(pairs, lambda i: F.concat(F.array(F.element_at(kept, i)), F.when(i < F.size(kept), between(F.element_at(kept, i), F.element_at(kept, i + 1))).otherwise(none))))
 
 
 def arc_targets(cumulative: Column, n: Column, min_gap: Column | float) -> Column:

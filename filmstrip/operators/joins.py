@@ -8,17 +8,30 @@ from pyspark.sql import functions as F
 from filmstrip.plans.ordered import chunked, scan
 
 
-def in_interval(points: DataFrame, intervals: DataFrame, key: str, at: str, start: str, end: str, how: str = "inner") -> DataFrame:
+BIN = 1024
+
+
+def bins(low: Column, high: Column, width: int = BIN) -> Column:
+    """The numbers of the bins of `width` that low..high touches; none if high is below low or one of them is null."""
+    touched = F.sequence(F.floor(low / width), F.floor(high / width))
+    return F.when((low <= high), touched).otherwise(F.array().cast("array<bigint>"))
+
+
+def in_interval(points: DataFrame, intervals: DataFrame, key: str, at: str, start: str, end: str, how: str = "inner", width: int = BIN) -> DataFrame:
     """Pairs of a point and each interval of its key that holds it (ends inclusive).
 
     how: inner drops points outside every interval, left keeps them with nulls. Nulls never match. Clashing names: the
     intervals' columns other than key get the prefix i_ where points has them too.
+
+    Both sides are joined by key and bin of `width`, so that a key with very many rows is many small groups and not one
+    in which all points meet all intervals; an interval is repeated once for each bin it touches.
     """
     right = intervals.select(F.col(key), *[F.col(c).alias(f"i_{c}" if c in points.columns else c) for c in intervals.columns if c != key])
     s, e = (f"i_{c}" if c in points.columns else c for c in (start, end))
-    p, i = points.alias("p"), right.alias("i")
-    joined = p.join(i, (F.col(f"p.{key}") == F.col(f"i.{key}")) & F.col(f"p.{at}").between(F.col(f"i.{s}"), F.col(f"i.{e}")), how)
-    return joined.select("p.*", *[F.col(f"i.{c}") for c in right.columns if c != key])
+    p = points.withColumn("__bin", F.floor(F.col(at) / width)).alias("p")
+    i = right.withColumn("__bin", F.explode(bins(F.col(s), F.col(e), width))).alias("i")
+    test = (F.col(f"p.{key}") == F.col(f"i.{key}")) & (F.col("p.__bin") == F.col("i.__bin")) & F.col(f"p.{at}").between(F.col(f"i.{s}"), F.col(f"i.{e}"))
+    return p.join(i, test, how).select(*[F.col(f"p.{c}") for c in points.columns], *[F.col(f"i.{c}") for c in right.columns if c != key])
 
 
 def forward_clamped(points: DataFrame, intervals: DataFrame, key: str, at: str, point_id: str, end: str, value: str) -> DataFrame:
@@ -53,11 +66,13 @@ def nearest_in_pool(events: DataFrame, pool: DataFrame, key: str, at: str, own:
     return with_own.unionByName(found).unionByName(unplaced)
 
 
-def collected_in_interval(events: DataFrame, points: DataFrame, keys: list[str], start: str, end: str, at: str, out: str) -> DataFrame:
-    """events with a sorted array of the points of its keys inside each interval, empty for none."""
+def collected_in_interval(events: DataFrame, points: DataFrame, keys: list[str], start: str, end: str, at: str, out: str, width: int = BIN) -> DataFrame:
+    """events with a sorted array of the points of its keys inside each interval, empty for none. Joined by bin, as in
+    in_interval; events with equal values in all columns stay separate rows."""
     e = events.withColumn("__row", F.monotonically_increasing_id())
-    p = points.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(at).alias("__at"))
-    test = F.col("__at").between(F.col(start), F.col(end))
+    e = e.withColumn("__bin", F.explode_outer(bins(F.col(start), F.col(end), width)))
+    p = points.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(at).alias("__at"), F.floor(F.col(at) / width).alias("__pbin"))
+    test = (F.col("__bin") == F.col("__pbin")) & F.col("__at").between(F.col(start), F.col(end))
     for k in keys:
         test &= F.col(k) == F.col(f"__{k}")
     inside = e.join(p, test, "left").groupBy("__row", *events.columns).agg(F.array_sort(F.collect_list("__at")).alias(out))

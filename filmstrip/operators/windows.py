@@ -85,7 +85,7 @@ def steepness(size: Column, by: WindowSpec, whole: WindowSpec) -> Column:
     return sum((F.coalesce(s, F.lit(0.0)) for s in steps[1:]), F.coalesce(steps[0], F.lit(0.0))) / F.nullif(known[0] + known[1] + known[2], F.lit(0))
 
 
-def dake(df: DataFrame, key: list[str], at: str, size: str, ratio: float, window: int) -> DataFrame:
+def steepest(df: DataFrame, key: list[str], at: str, size: str, ratio: float, window: int) -> DataFrame:
     """df's key and at with pick ('steep' or 'cover'): the steepest share of a group's samples (one at least), and for
     each tumbling window of `window` samples without one, its steepest. Ties go to the earlier sample."""
     by, whole = over(key, at)

@@ -101,3 +101,29 @@ def test_max_min(spark):
             kept.append(best)
         want[g] = sorted(kept)
     assert got(folds.max_min_picks(df, apart, lambda x: x["f"], 3, 0.25, 20), F.col("kept")) == want
+
+
+def test_fill_gaps_stops_at_likeness_and_anchors_the_end(spark):
+    data, df = groups(spark, size=20, seed=9)
+    want = {}
+    for g, items in data.items():
+        kept = []
+        for x in items:
+            if not kept or all(abs(x[1] - k[1]) > 0.3 for k in kept):
+                kept.append(x)
+        if items[-1][0] - kept[-1][0] > 30:
+            kept.append(items[-1])
+        out = []
+        for i, a in enumerate(kept):
+            out.append(a)
+            last = a
+            while i + 1 < len(kept) and kept[i + 1][0] - last[0] > 30:
+                rest = [c for c in items if last[0] < c[0] < kept[i + 1][0]]
+                best = min(rest, key=lambda c: (abs(c[0] - last[0] - 30), c[0]), default=None)
+                if best is None or abs(best[1] - last[1]) <= 0.1:
+                    break
+                out.append(best)
+                last = best
+        want[g] = out
+    rows = folds.distinct_from_all(df, apart, 0.3)
+    assert got(rows, folds.fill_gaps(F.col("kept"), F.col("items"), 30, lambda x: x["f"], apart, 0.1, anchor_last=True)) == want

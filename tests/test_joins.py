@@ -31,3 +31,18 @@ def test_upsert(spark):
     new = spark.createDataFrame([("b", 3), ("c", 4)], "k string, x long")
     assert {tuple(r) for r in joins.upsert(old, new, ["k"]).select("k", "x", "state").collect()} == {("a", 1, "kept"), ("b", 3, "updated"), ("c", 4, "new")}
     assert joins.remaining(old, new, ["k"]).count() == 1
+
+
+def test_bins_lose_and_repeat_nothing(spark):
+    """Long, short and reversed intervals over many bins, against all pairs."""
+    rng = random.Random(6)
+    points = [("hot" if rng.random() < 0.7 else rng.choice(["a", None]), rng.randrange(-50, 500) if rng.random() < 0.95 else None, i) for i in range(200)]
+    spans = [("hot" if rng.random() < 0.7 else "a", (s := rng.randrange(-50, 500)), s + rng.choice([-3, 0, 5, 70, 300]), i) for i in range(60)]
+    p = spark.createDataFrame(points, "k string, t long, id long")
+    i = spark.createDataFrame(spans, "k string, s long, e long, n long")
+    pairs = sorted((pi, n) for k, t, pi in points for q, s, e, n in spans if k == q and t is not None and s <= t <= e)
+    assert sorted((r.id, r.n) for r in joins.in_interval(p, i, "k", "t", "s", "e", width=32).collect()) == pairs
+    left = joins.in_interval(p, i, "k", "t", "s", "e", "left", width=32).collect()
+    assert sorted((r.id, r.n) for r in left if r.n is not None) == pairs and len(left) == len(pairs) + len(points) - len({a for a, _ in pairs})
+    got = {r.n: r.inside for r in joins.collected_in_interval(i, p, ["k"], "s", "e", "t", "inside", width=32).collect()}
+    assert got == {n: sorted(t for k, t, _ in points if k == q and t is not None and s <= t <= e) for q, s, e, n in spans}
