@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from filmstrip.functions.vectors import dot, doubles, normalised
 from filmstrip.operators.align import reciprocal_fusion
+from filmstrip.plans.skew import fits
 from filmstrip.session import broadcast_limit
 
 K1, B = 1.2, 0.75
@@ -31,14 +32,12 @@ def bm25(docs: DataFrame, queries: DataFrame, doc_id: str, fields: list[str], qu
     """query_id, doc_id, score, rank: the `top` best documents for each query by the best of their fields' BM25 scores
     (ties to the lower id).
 
-    Only terms that some query has leave the documents' scan: queries are counted and their terms broadcast up to the
+    Only terms that some query has leave the documents' scan: the queries' terms are counted and broadcast up to the
     session's limit, else joined. Frequencies are of all documents.
     """
-    spark = docs.sparkSession
     asked = queries.select(F.col(query_id).alias("query_id"), F.explode(F.array_distinct(terms(F.col(query)))).alias("term"))
     words = asked.select("term").distinct()
-    limit = broadcast_limit(spark)
-    small = words.limit(limit + 1).count() <= limit
+    small = fits(asked)
     parts = None
     for f in fields:
         rows = docs.select(F.lit(f).alias("field"), F.col(doc_id).alias("doc_id"), terms(F.col(f)).alias("t")).where(F.size("t") > 0)
