@@ -1,5 +1,9 @@
+import hashlib
+from types import SimpleNamespace
+
 import pytest
 
+from filmstrip.catalog import aggregates
 from filmstrip.operators import score
 from filmstrip.operators.score import DEPTHS
 
@@ -31,3 +35,19 @@ def test_coverage(spark):
     got = score.covered_share(spark.createDataFrame(data, "k string, f long, last long"), ["k"], "f", 5, "last").first().share
     want = sum(any(s <= f < s + 5 for _, f, _ in data) for s in range(50)) / 50
     assert got == pytest.approx(want)
+
+
+def test_answers_of_all_collections_count(spark):
+    frames = {"N1_V1": 7, "S1_V1": 5, "T1_V1": 1}
+    k = spark.createDataFrame([(v, f"{v}_{i}", i * 50) for v, n in frames.items() for i in range(n)], "video_id string, keyframe_id string, frame_idx long")
+    answers, truth = aggregates._answers(SimpleNamespace(kf=k))
+    want = {}
+    for v, n in frames.items():
+        order = sorted(range(n), key=lambda i: hashlib.md5(f"{v}_{i}".encode()).hexdigest())
+        for level, tol in (("tol5", 5), ("tol30", 30), ("tol90", 90)):
+            want[v, level] = min(r for r, i in enumerate(order, 1) if abs(i - n // 2) * 50 <= tol)
+    got = score.final_scores(score.judged(answers, truth), ["query_id", "level"]).collect()
+    assert {(r.query_id, r.level): r.first_hit for r in got} == want
+    some = score.judged(answers.where("query_id <> 'S1_V1'"), truth)
+    rows = score.final_scores(some, ["query_id", "level"]).where("query_id = 'S1_V1'").collect()
+    assert len(rows) == 3 and {(r.final, r.bucket, r.first_hit) for r in rows} == {(0.0, "miss", None)}
