@@ -57,14 +57,15 @@ def fused_by_reciprocal(t: Tables) -> DataFrame:
 
 @query()
 def hybrid_search(t: Tables) -> DataFrame:
-    """Documents for each query by words and by hashed embeddings, fused by reciprocal rank. Tested on a small set."""
+    """Documents for each query by words and by hashed embeddings, fused by reciprocal rank over both whole lists. Tested
+    against brute force on a small set."""
     from filmstrip.functions.models import embed_text
 
     docs = t.raw("documents").where("text is not null and trim(text) <> ''")
     q = t.raw("kis_queries")
-    words = search.bm25(docs, q, "doc_id", ["text"], "query_id", "query", 20).select("query_id", F.col("doc_id").alias("cand"), "score")
+    words = search.bm25(docs, q, "doc_id", ["text"], "query_id", "query", None).select("query_id", F.col("doc_id").alias("cand"), F.round("score", 9).alias("score"))
     d, v = docs.select("doc_id", embed_text("text").alias("v")), q.select("query_id", embed_text("query").alias("qv"))
-    near = search.cosine_top(d, v, "doc_id", "v", "query_id", "qv", 20, same=True).select("query_id", F.col("row_id").alias("cand"), "score")
+    near = search.cosine_top(d, v, "doc_id", "v", "query_id", "qv", None, same=True).select("query_id", F.col("row_id").alias("cand"), F.round("score", 9).alias("score"))
     return search.hybrid([(words, 1.0), (near, 1.0)], 10)
 
 

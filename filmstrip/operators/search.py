@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from filmstrip.functions.vectors import dot, doubles, normalised
 from filmstrip.operators.align import reciprocal_fusion
 from filmstrip.plans.skew import fits
-from filmstrip.session import broadcast_limit
+from filmstrip.session import broadcast_limit, partitions
 
 K1, B = 1.2, 0.75
 
@@ -28,9 +28,9 @@ def inverted_index(docs: DataFrame, doc_id: str, fields: list[str]) -> DataFrame
     return rows.select("field", "doc_id", F.size("t").alias("len"), F.explode("t").alias("term")).groupBy("field", "term", "doc_id", "len").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def bm25(docs: DataFrame, queries: DataFrame, doc_id: str, fields: list[str], query_id: str, query: str, top: int) -> DataFrame:
+def bm25(docs: DataFrame, queries: DataFrame, doc_id: str, fields: list[str], query_id: str, query: str, top: int | None) -> DataFrame:
     """query_id, doc_id, score, rank: the `top` best documents for each query by the best of their fields' BM25 scores
-    (ties to the lower id).
+    (ties to the lower id); without top, all documents with a word of the query, and no rank.
 
     Only terms that some query has leave the documents' scan: the queries' terms are counted and broadcast up to the
     session's limit, else joined. Frequencies are of all documents.
@@ -53,6 +53,8 @@ def bm25(docs: DataFrame, queries: DataFrame, doc_id: str, fields: list[str], qu
     weighed = weighed.select("field", "term", "doc_id", gain.alias("gain"))
     scored = weighed.join(F.broadcast(asked) if small else asked, "term").groupBy("query_id", "field", "doc_id").agg(F.sum("gain").alias("s"))
     best = scored.groupBy("query_id", "doc_id").agg(F.max("s").alias("score"))
+    if top is None:
+        return best
     return top_per_key(best, ["query_id"], [F.desc(F.round("score", 9)), F.asc("doc_id")], top)  # sums differ in their last digits
 
 
@@ -61,9 +63,9 @@ def top_per_key(df: DataFrame, key: list[str], order: list[Column], top: int) ->
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where(F.col("rank") <= top)
 
 
-def cosine_top(rows: DataFrame, queries: DataFrame, row_id: str, vector: str, query_id: str, query_vector: str, top: int, same: bool = False) -> DataFrame:
+def cosine_top(rows: DataFrame, queries: DataFrame, row_id: str, vector: str, query_id: str, query_vector: str, top: int | None, same: bool = False) -> DataFrame:
     """query_id, row_id, score, rank: the exact `top` nearest rows of each query by cosine (ties to the lower id); with
-    same, a row may be its own answer.
+    same, a row may be its own answer. Without top, every row with each query, and no rank.
 
     The queries are a stated set; blocks of at most the session's broadcast limit of them go to all rows, so a larger set
     is more passes and never a larger broadcast. Each pass ranks before its shuffle.
@@ -77,15 +79,17 @@ def cosine_top(rows: DataFrame, queries: DataFrame, row_id: str, vector: str, qu
         mine = q.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == k) if blocks > 1 else q
         test = F.lit(True) if same else F.col("query_id") != F.col("row_id")
         pairs = r.join(F.broadcast(mine), test).select("query_id", "row_id", dot(F.col("v"), F.col("q")).alias("score"))
-        part = top_per_key(pairs, ["query_id"], [F.desc("score"), F.asc("row_id")], top)
+        part = pairs if top is None else top_per_key(pairs, ["query_id"], [F.desc("score"), F.asc("row_id")], top)
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def hybrid(ranked: list[tuple[DataFrame, float]], top: int, k: int = 60) -> DataFrame:
-    """query_id, cand, fused, rank: lists of (query_id, cand, score) with weights, fused by reciprocal rank."""
+    """query_id, cand, fused, rank: lists of (query_id, cand, score) with weights, fused by reciprocal rank. What
+    is missing from a list gets no share of it, so whole lists give the exact result. They are shuffled once, by query."""
     rows = None
     for i, (df, weight) in enumerate(ranked):
         part = df.select("query_id", "cand", "score", F.lit(i).alias("channel"), F.lit(float(weight)).alias("weight"))
         rows = part if rows is None else rows.unionByName(part)
+    rows = rows.repartition(partitions(rows.sparkSession), "query_id")
     return top_per_key(reciprocal_fusion(rows, ["query_id"], "channel", "cand", "score", "weight", k), ["query_id"], [F.desc("fused"), F.asc("cand")], top)

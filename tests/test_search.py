@@ -1,10 +1,13 @@
 import math
 import re
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
+import xxhash
 
+from filmstrip.catalog import retrieval
 from filmstrip.operators import search
 
 DOCS = [(1, "Một con mèo, con chó", "OPEN"), (2, "con mèo ngủ", None), (3, "", ""), (4, None, "mèo mèo"), (5, "xe đạp", "mèo"), (6, "con mèo ngủ", None)]
@@ -63,3 +66,36 @@ def test_hybrid_rewards_agreement(spark):
     a = spark.createDataFrame([("q", 1, 3.0), ("q", 2, 2.0), ("q", 3, 1.0)], "query_id string, cand long, score double")
     b = spark.createDataFrame([("q", 2, 0.9), ("q", 4, 0.8)], "query_id string, cand long, score double")
     assert [r.cand for r in search.hybrid([(a, 1.0), (b, 1.0)], 2).orderBy("rank").collect()] == [2, 1]
+
+
+def test_hybrid_search_equals_brute_force(spark):
+    rng = np.random.default_rng(3)
+    docs = [(i, " ".join(f"w{k}" for k in rng.integers(0, 40, rng.integers(3, 30)))) for i in range(150)]
+    asked = [(f"q{i}", " ".join(f"w{k}" for k in rng.integers(0, 40, 4))) for i in range(4)]
+
+    def vector(text):
+        v = np.zeros(64)
+        for w in text.split():
+            h = xxhash.xxh3_64_intdigest(w)
+            v[h % 64] += 1.0 if h >> 63 else -1.0
+        return v / max(np.linalg.norm(v), 1e-8)
+
+    tables = {"documents": spark.createDataFrame(docs, "doc_id long, text string"), "kis_queries": spark.createDataFrame(asked, "query_id string, query string")}
+    got = defaultdict(list)
+    for r in retrieval.hybrid_search(SimpleNamespace(raw=tables.get)).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.cand, round(r.fused, 12)))
+    mean, df = sum(len(t.split()) for _, t in docs) / len(docs), Counter(w for _, t in docs for w in set(t.split()))
+    want = {}
+    for q, text in asked:
+        words, near, fused = {}, {}, defaultdict(float)
+        for i, t in docs:
+            tf = Counter(t.split())
+            s = sum(math.log(1 + (len(docs) - df[w] + 0.5) / (df[w] + 0.5)) * tf[w] * 2.2 / (tf[w] + 1.2 * (0.25 + 0.75 * len(t.split()) / mean)) for w in set(text.split()) & set(tf))
+            if s:
+                words[i] = s
+            near[i] = float(vector(t) @ vector(text))
+        for channel in (words, near):
+            for r, i in enumerate(sorted(channel, key=lambda i: (-round(channel[i], 9), i))):
+                fused[i] += 1 / (60 + r)
+        want[q] = [(i, round(s, 12)) for i, s in sorted(fused.items(), key=lambda x: (-x[1], x[0]))[:10]]
+    assert dict(got) == want
