@@ -78,13 +78,14 @@ def localised_phases(t: Tables) -> DataFrame:
 
 @query()
 def segmented_shots(t: Tables) -> DataFrame:
-    """Shots cut where look and motion change, over samples made of their events. Tested on synthetic signals."""
+    """Shots cut where look and motion change, at each shot's own rate, over samples made of their events. Tested
+    on synthetic signals."""
     key = ["video_id", "shot_index"]
     e = t.ev.dropna(subset=[*key, "mag_mean", "anchor_frame"])
     i = F.row_number().over(Window.partitionBy(*key).orderBy("anchor_frame", "id")) - 1
     x, y = (F.col("id") * 37 % 201 - 100) / 50.0, (F.col("id") * 91 % 201 - 100) / 50.0
     samples = e.select(*key, i.alias("i"), F.col("anchor_frame").alias("fidx"), x.alias("dx"), y.alias("dy"), F.col("mag_mean").alias("mag"), (i > 0).alias("real"), F.array(F.col("boundary_score"), F.col("boundary_score")).alias("gray"))
-    return segment(samples, t.sh.select(*key, "start_frame", "end_frame"), key, 25.0).select(*key, "ord", F.col("start").alias("start_frame"), F.col("end").alias("end_frame"), "anchor")
+    return segment(samples, t.sh.select(*key, "start_frame", "end_frame", "fps"), key, "fps").select(*key, "ord", F.col("start").alias("start_frame"), F.col("end").alias("end_frame"), "anchor")
 
 
 @query()

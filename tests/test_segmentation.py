@@ -1,5 +1,9 @@
+from collections import defaultdict
+from types import SimpleNamespace
+
 import numpy as np
 
+from filmstrip.catalog.pipelines import segmented_shots
 from filmstrip.plans.segmentation import SegmentConfig, keyframes, scenes, segment
 
 SAMPLES = "v string, shot int, i int, fidx long, dx double, dy double, mag double, real boolean, gray array<double>"
@@ -52,3 +56,26 @@ def test_strategies(spark):
     shots = spark.createDataFrame([("v", 0, 0, 100)], "video_id string, shot_index int, start_frame long, end_frame long")
     assert [r.frame_idx for r in keyframes("middle", shots).collect()] == [50]
     assert [r.frame_idx for r in keyframes("uniform", shots, step=40).collect()] == [0, 40, 80]
+
+
+def test_each_shot_has_its_own_rate(spark):
+    rng = np.random.default_rng(5)
+    rates = {"a": 24.0, "b": 25.0, "c": 29.97, "d": 30.0, "e": None, "f": 0.0}
+    drawn = [(i, 2 * i, float(rng.uniform(0, 3)), float(rng.uniform(0, 1))) for i in range(90)]
+    ev = spark.createDataFrame([(v, 7, i, f, m, b) for v in rates for i, f, m, b in drawn], "video_id string, shot_index int, id long, anchor_frame long, mag_mean double, boundary_score double")
+
+    def cut(fps):
+        sh = spark.createDataFrame([(v, 7, 0, 179, r) for v, r in fps.items()], "video_id string, shot_index int, start_frame long, end_frame long, fps double")
+        out = defaultdict(list)
+        for r in segmented_shots(SimpleNamespace(ev=ev, sh=sh)).collect():
+            out[r.video_id].append((r.ord, r.start_frame, r.end_frame))
+        return {v: sorted(x) for v, x in out.items()}
+
+    got = cut(rates)
+    assert got["b"] == got["e"] == got["f"] != got["d"]
+    for v, least in {"a": 10, "b": 10, "c": 12, "d": 12, "e": 10, "f": 10}.items():
+        tiles([(*x, x[1]) for x in got[v]], 0, 179)
+        assert len(got[v]) > 1 and all(e - s + 1 >= least for _, s, e in got[v])
+    # as when all shots have that rate
+    assert got["d"] == cut(dict.fromkeys(rates, 30.0))["d"]
+    assert got["a"] == cut(dict.fromkeys(rates, 24.0))["a"]
