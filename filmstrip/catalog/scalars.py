@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filmstrip.catalog.base import Tables, query
@@ -148,13 +150,23 @@ _RAW = "concat_ws(chr(10), 'Đây là nhãn:', '2 | ' || coalesce(action, ''), '
 @query(f"""SELECT id, coalesce(trim(motion), '') AS slot1, CASE WHEN trim(coalesce(action, '')) = '' THEN '' ELSE trim(action) END AS slot2, '' AS slot3,
     md5({_RAW}) AS raw_md5 FROM ev WHERE coalesce(action, '') NOT LIKE '%' || chr(10) || '%' AND regexp_matches(coalesce(motion, ''), '^[^\\s].*[^\\s]$') AND coalesce(action, '') = trim(coalesce(action, ''))""")
 def label_slots(t: Tables) -> DataFrame:
-    """Labels from numbered lines of an answer: the order of lines doesn't matter, numbers out of range are ignored."""
+    """Labels from numbered lines of an answer: the order of lines doesn't matter, numbers out of range are ignored. The
+    rows that its SQL can say; label_slots_whole has all."""
+    return _slots(t.ev.where(~F.coalesce("action", F.lit("")).contains("\n") & F.coalesce("motion", F.lit("")).rlike(r"^[^\s].*[^\s]$") & (F.coalesce("action", F.lit("")) == F.trim(F.coalesce("action", F.lit(""))))))
+
+
+def _slots(events: DataFrame) -> DataFrame:
     raw = F.concat_ws("\n", F.lit("Đây là nhãn:"), F.concat(F.lit("2 | "), F.coalesce("action", F.lit(""))), F.lit("9 | x"), F.concat(F.lit("1. "), F.coalesce("motion", F.lit(""))))
-    rows = t.ev.where(~F.coalesce("action", F.lit("")).contains("\n") & F.coalesce("motion", F.lit("")).rlike(r"^[^\s].*[^\s]$") & (F.coalesce("action", F.lit("")) == F.trim(F.coalesce("action", F.lit("")))))
-    slots = rows.select("id", labels.label_slots(raw, F.lit(3)).alias("s"), F.md5(raw).alias("raw_md5"))
+    slots = events.select("id", labels.label_slots(raw, F.lit(3)).alias("s"), F.md5(raw).alias("raw_md5"))
     return slots.select("id", *[F.get("s", F.lit(k)).alias(f"slot{k + 1}") for k in range(3)], "raw_md5")
 
 
+@query()
+def label_slots_whole(t: Tables) -> DataFrame:
+    """Labels of all events, also null, blank, untrimmed and multi-line ones. Tested against a plain loop."""
+    return _slots(t.ev)
+
+
 @query("""SELECT query_id, trim(query) AS query, least(greatest(coalesce(distinct_score, 0), 0), 5) AS distinct_score, coalesce(note, '') AS note FROM kis_queries WHERE trim(query) <> ''""")
 def fenced_queries(t: Tables) -> DataFrame:
     """Queries read back from answers with JSON in a fence."""
@@ -191,10 +203,20 @@ def motion_phrases(t: Tables) -> DataFrame:
 @query("""SELECT caption_id, trim(regexp_replace(caption, '\\nTEXT:[\\s\\S]*$', '')) AS said, CASE WHEN seen = '(không có)' THEN '' ELSE seen END AS seen
     FROM (SELECT *, trim(regexp_extract(caption, '\\nTEXT:([\\s\\S]*)$', 1)) AS seen FROM ca WHERE caption IS NOT NULL AND caption NOT LIKE chr(10) || '%' AND caption NOT LIKE '%' || chr(10))""")
 def caption_parts(t: Tables) -> DataFrame:
-    """Captions and the words seen on screen, taken apart."""
-    c = labels.split_caption(F.col("caption"))
-    rows = t.ca.where(F.col("caption").isNotNull() & ~F.col("caption").startswith("\n") & ~F.col("caption").endswith("\n"))
-    return rows.select("caption_id", c["caption"].alias("said"), c["seen"].alias("seen"))
+    """Captions and the words seen on screen, taken apart. The rows that its SQL can say; caption_parts_whole has all."""
+    return _parts(t.ca.where(F.col("caption").isNotNull() & ~F.col("caption").startswith("\n") & ~F.col("caption").endswith("\n")))
+
+
+def _parts(captions: DataFrame, strip: Callable[[Column], Column] = F.trim) -> DataFrame:
+    c = labels.split_caption(F.col("caption"), strip)
+    return captions.select("caption_id", c["caption"].alias("said"), c["seen"].alias("seen"))
+
+
+@query()
+def caption_parts_whole(t: Tables) -> DataFrame:
+    """All captions taken apart, also null ones and those that begin or end with a line break. Tested against a plain
+    loop."""
+    return _parts(t.ca, labels.stripped)
 
 
 @query("""SELECT video_id, s AS seconds, CASE WHEN s >= 3600 THEN printf('%dh%02dm%02ds', s // 3600, s % 3600 // 60, s % 60) WHEN s >= 60 THEN printf('%dm%02ds', s // 60, s % 60) ELSE printf('%ds', s) END AS text

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,6 +22,11 @@ def is_error_text(text: Column) -> Column:
     return F.coalesce(text.rlike(r"^\s*(\[|\z)"), F.lit(True))
 
 
+def stripped(text: Column) -> Column:
+    """Without white space of any kind at its ends."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def label_slots(raw: Column, n: Column) -> Column:
     """The n labels of a model's answer, '' where it has none.
 
@@ -27,7 +34,7 @@ def label_slots(raw: Column, n: Column) -> Column:
     line is numbered, lines fill slots in order. A null, blank or error answer leaves all slots empty.
     """
     pattern = r"^\s*(\d+)\s*[|.):\-]\s*(.+?)\s*$"
-    lines = F.filter(F.transform(F.split(F.coalesce(raw, F.lit("")), "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(F.coalesce(raw, F.lit("")), "\n"), stripped), lambda x: x != "")
     numbered = F.filter(lines, lambda x: x.rlike(pattern))
     slots = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
 
@@ -86,10 +93,10 @@ def motion_phrase(dx: Column, dy: Column, mag: Column, coherence: Column, still:
     return F.when(mag < still, STILL).when(~(across | along), F.concat(F.lit(IN_PLACE), strength)).otherwise(F.concat(moved, strength))
 
 
-def split_caption(text: Column) -> Column:
+def split_caption(text: Column, strip: Callable[[Column], Column] = F.trim) -> Column:
     """Struct of caption and seen: what a last line "TEXT:" lists, '' for none."""
-    seen = F.trim(F.regexp_extract(text, r"(?s)\nTEXT:(.*)$", 1))
-    return F.struct(F.trim(F.regexp_replace(text, r"(?s)\nTEXT:.*$", "")).alias("caption"), F.when(seen == NO_TEXT, "").otherwise(seen).alias("seen"))
+    seen = strip(F.regexp_extract(text, r"(?s)\nTEXT:(.*)$", 1))
+    return F.struct(strip(F.regexp_replace(text, r"(?s)\nTEXT:.*$", "")).alias("caption"), F.when(seen == NO_TEXT, "").otherwise(seen).alias("seen"))
 
 
 def has_any(text: Column, words: tuple[str, ...]) -> Column:
