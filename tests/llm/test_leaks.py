@@ -83,3 +83,22 @@ def test_stretch_against_all_alignments():
         seen.add(want)
         assert shared_stretch(q, d, 5 - a, 20, 7) == want
     assert seen == {True, False}
+
+
+@pytest.mark.parametrize("rows", ["20000", "0"])
+def test_edits_that_leave_one_run_of_five_or_six(spark, rows):
+    own = [a + b for a in "bcdgh" for b in "aeiou"][:21]
+    docs = []
+    for i, lengths in enumerate(((4, 4, 4, 6), (4, 4, 5, 5), (6, 4, 4, 4), (4, 6, 4, 4))):
+        doc, at = list(own), 0
+        for n in lengths[:-1]:
+            doc[at + n] = "xx"
+            at += n + 1
+        docs.append((i, "trước đó " + " ".join(doc) + " sau đó"))
+    docs.append((9, " ".join(own[:3] + ["xx"] + own[4:7] + ["xx"] + own[8:13] + ["xx"] + own[14:17] + ["xx"] + own[18:])))
+    spark.conf.set("filmstrip.broadcastRows", rows)
+    try:
+        got = leaks(spark.createDataFrame(docs, "id long, t string"), spark.createDataFrame([("q", " ".join(own))], "q string, t string"), "id", "t", "q", "t").collect()
+    finally:
+        spark.conf.unset("filmstrip.broadcastRows")
+    assert {(r.doc_id, r.query_id) for r in got} == {(i, "q") for i in range(4)}
