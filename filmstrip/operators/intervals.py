@@ -24,9 +24,9 @@ def sweep(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
     rows = rows.dropna().where("__b >= __a")
     bounds = rows.select(*names, F.explode(F.array(F.struct(F.col("__a").alias("at"), F.lit(1).alias("d")), F.struct((F.col("__b") + 1).alias("at"), F.lit(-1).alias("d")))).alias("x"))
     deltas = bounds.groupBy(*names, F.col("x.at").alias("__at")).agg(F.sum("x.d").alias("__d")).where("__d <> 0")
-    active = scan(chunked(deltas, names, ["__at"]), names, ["__at"], sums={"__n": F.col("__d")})
     opens, closes = (F.col("__n") == F.col("__d")) & (F.col("__d") > 0), F.col("__n") == 0
-    spans = scan(active, names, ["__at"], last={"__from": F.when(opens, F.col("__at"))}, following={"__to": F.when(opens, F.col("__at"))})
+    # boundaries at which nothing changes are gone, so the one after a close opens the next period
+    spans = scan(chunked(deltas, names, ["__at"]), names, ["__at"], sums={"__n": F.col("__d")}, last={"__from": F.when(opens, F.col("__at"))}, after={"__to": F.col("__at")})
     out_keys = [F.col(n).alias(k) for k, n in zip(keys, names)]
 
     def row(kind: str, a: Column, b: Column, depth: Column) -> list[Column]:
