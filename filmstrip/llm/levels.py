@@ -1,4 +1,4 @@
-"""How demanding texts are: n-gram surprisal of graded bands, decoded over whole texts and mapped by isotonic regression."""
+"""How demanding texts are: n-gram surprisals of whole texts, sentence by sentence, mapped to grades by isotonic regression."""
 
 from __future__ import annotations
 
@@ -84,13 +84,23 @@ class Bands:
         out[real] = -log
         return out
 
-    def decode(self, lines: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """For each text (its pieces' codes) the likeliest band of each piece, bands changing rarely, and its surprisal
-        under that band. Texts of like length are worked off side by side."""
+    def gist(self, cost: np.ndarray) -> np.ndarray:
+        """What isotonic regression maps to the grades: for each row of mean surprisals, one column a band, the mean of
+        the bands, each weighing less the more surprising the words are to it."""
+        weight = np.exp(cost.min(1, keepdims=True) - cost)
+        return weight @ np.array(self.bands, float) / weight.sum(1)
+
+    def decode(self, lines: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+        """For each text (its pieces' codes) the likeliest band of each piece, bands changing rarely, its surprisal
+        under that band, and the gist of the sentences it stands in, which are the pieces between two changes of band:
+        so texts without punctuation have sentences too. The gist is that of the mean surprisals of a sentence's words
+        under every band; words in no graded text don't count for it, and without any other it isn't a number.
+        Texts of like length are worked off side by side."""
         k = len(self.bands)
         order = np.argsort([-len(x) for x in lines], kind="stable")
         bands: list = [np.zeros(0, np.int64)] * len(lines)
         costs: list = [np.zeros(0)] * len(lines)
+        gists: list = [np.zeros(0)] * len(lines)
         group: list[int] = []
         groups = []
         for i in order:
@@ -135,13 +145,19 @@ class Bands:
                     now[:n] = np.where(moved, best[at], here)
             state = state[seat]
             own = cost[np.arange(len(codes)), state]
+            first = np.flatnonzero((place == 0) | np.r_[True, state[1:] != state[:-1]])  # where sentences begin
+            seats = codes >> 1
+            known = (seats >= 0) & (seats < len(self.ids))
+            words_in = np.add.reduceat(known, first, dtype=np.int64)
+            with np.errstate(invalid="ignore"):
+                mean = np.add.reduceat(np.where(known[:, None], cost, 0.0), first, axis=0) / words_in[:, None]
+            whole = np.repeat(self.gist(mean), np.diff(np.r_[first, len(codes)]))
             for i, s, z in zip(g, np.cumsum(size) - size, size):
-                bands[i], costs[i] = state[s : s + z], own[s : s + z]
-        return bands, costs
+                bands[i], costs[i], gists[i] = state[s : s + z], own[s : s + z], whole[s : s + z]
+        return bands, costs, gists
 
-    def index(self, state: np.ndarray) -> float:
-        """The mean band of a text's words, what isotonic regression maps to the grades."""
-        return float(np.array(self.bands)[state].mean()) if len(state) else float("nan")
+    def codes(self, text: str) -> np.ndarray:
+        return np.array([self.piece(p) for p in text.split()], np.int64)
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,7 +175,8 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Levels:
-    """Band models and the map from a text's index to its level; the map is fitted to indexes of held-out samples."""
+    """Band models and the isotonic map from a sentence's gist to its level, fitted to the gists of held-out samples,
+    each of them worked out by models that haven't seen the sample."""
 
     def __init__(self, graded: list[tuple[str, int]], folds: int = 5) -> None:
         self.models = Bands(graded)
@@ -169,24 +186,31 @@ class Levels:
             held = [g for i, g in enumerate(graded) if i % folds == k]
             if rest and held:
                 m = Bands(rest)
-                states, _ = m.decode([np.array([m.piece(p) for p in t.split()], np.int64) for t, _ in held])
-                index += [m.index(s) for s in states]
-                grade += [b for _, b in held]
+                for text, band in held:
+                    seats = m.codes(text) >> 1
+                    known = (seats >= 0) & (seats < len(m.ids))
+                    if known.any():
+                        index.append(m.gist(m.surprisal(seats)[known].mean(0, keepdims=True))[0])
+                        grade.append(band)
         self.held = (np.array(index), np.array(grade, float))
-        ok = ~np.isnan(self.held[0])
-        self.at, self.to = isotonic(self.held[0][ok], self.held[1][ok])
+        self.at, self.to = isotonic(*self.held)
 
-    def level(self, index: float) -> float | None:
-        return float(np.interp(index, self.at, self.to)) if index == index and len(self.at) else None
+    def level(self, gist: np.ndarray) -> np.ndarray:
+        """The level of each gist; not a number where the gist is none."""
+        return np.interp(gist, self.at, self.to) if len(self.at) else np.full(len(gist), np.nan)
 
 
 def levels(docs: DataFrame, graded: DataFrame, doc_id: str, text: str, graded_text: str = "text", band: str = "band", most_samples: int = 5000) -> DataFrame:
-    """One row per document: doc_id, words, level, top_share, surprisal_p10, surprisal_p50, surprisal_p90, hard_words.
+    """One row per document: doc_id, words, level, median_level, top_share, surprisal_p10, surprisal_p50, surprisal_p90,
+    hard_words.
 
-    words are the pieces between white space; level is on the scale of the graded samples' band; top_share is the share
-    of words in sentences of the highest band; the surprisals (in nats per word, under the band of its sentence) are
-    quantiles over all words of the whole text; hard_words counts those of the highest band. Null, blank and wordless
-    texts have 0 words or no known word and null level; rows with a null doc_id are kept. Other columns are ignored.
+    words are the pieces between white space. The surprisals of all words of the whole text give each sentence a gist,
+    which the isotonic map takes to the scale of the graded samples' band. level is the mean of the words' levels, each
+    word having its sentence's, and median_level their (lower) median; hard_words counts those nearer to the highest
+    band than to the one below it, and top_share is their share. So 2 * hard_words > words says that the level is the
+    highest over more than half of the document's distribution. The surprisals (in nats per word, under the band of its
+    sentence) are quantiles over all words. Null, blank and wordless texts have 0 words or no known word and null
+    levels; rows with a null doc_id are kept. Other columns are ignored.
 
     The models are fitted on the driver to the graded samples, at most `most_samples` of them, those with the least
     hash; they are a fixed grading key, and what every task gets is a table of their word pairs. Documents are read
@@ -202,20 +226,23 @@ def levels(docs: DataFrame, graded: DataFrame, doc_id: str, text: str, graded_te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = fitted.models
         codes = Pieces(models.piece)
-        top = len(models.bands) - 1
+        above = models.bands[-1] - (models.bands[-1] - models.bands[-2]) / 2 if len(models.bands) > 1 else models.bands[-1]
         for batch in batches:
             texts = batch.column("text").to_pylist()
             lines = [np.fromiter(map(codes.__getitem__, (t or "").split()), np.int64) for t in texts]
-            states, costs = models.decode(lines)
+            _, costs, gists = models.decode(lines)
             out = defaultdict(list)
-            for line, state, cost in zip(lines, states, costs):
-                real = cost[line >= 0]
-                hard = int((state == top).sum())
+            for line, cost, gist in zip(lines, costs, gists):
+                real, of_word = cost[line >= 0], fitted.level(gist)
+                rated = np.sort(of_word[~np.isnan(of_word)])
+                hard = int((rated >= above).sum())
                 q = np.quantile(real, (0.1, 0.5, 0.9)) if len(real) else (None, None, None)
-                known = len(real) > 0
-                for name, value in (("words", len(line)), ("level", fitted.level(models.index(state)) if known else None), ("top_share", hard / len(line) if known else None), ("surprisal_p10", q[0]), ("surprisal_p50", q[1]), ("surprisal_p90", q[2]), ("hard_words", hard if known else 0)):
+                mean, median = (float(rated.mean()), float(rated[(len(rated) - 1) // 2])) if len(rated) else (None, None)
+                row = (len(line), mean, median, hard / len(line) if len(rated) else None, *q, hard)
+                for name, value in zip(names, row):
                     out[name].append(value)
-            ints = ("words", "hard_words")
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(v, pa.int64() if c in ints else pa.float64()) for c, v in out.items())], ["doc_id", *out])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(out[c], pa.int64() if c in ints else pa.float64()) for c in names)], ["doc_id", *names])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, words long, level double, top_share double, surprisal_p10 double, surprisal_p50 double, surprisal_p90 double, hard_words long")
+    ints = ("words", "hard_words")
+    names = ["words", "level", "median_level", "top_share", "surprisal_p10", "surprisal_p50", "surprisal_p90", "hard_words"]
+    return rows.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{c} {'long' if c in ints else 'double'}" for c in names))

@@ -12,8 +12,27 @@ def graded(spark):
 
 
 def test_held_out_samples_get_their_band(graded):
-    x, y = Levels(graded).held
-    assert len(x) == len(graded) and np.mean(np.round(x) == y) > 0.97
+    fitted = Levels(graded)
+    x, y = fitted.held
+    assert len(x) == len(graded) and np.mean(np.round(fitted.level(x)) == y) > 0.97
+    assert (np.diff(fitted.to) >= 0).all() and np.isnan(fitted.level(np.array([np.nan]))[0])
+
+
+def test_gists_are_of_whole_sentences(graded):
+    """Surprisals of the sentence's known words under each band, against a plain loop."""
+    m = Bands(graded)
+    text = f"{graded[0][0]} zzqx {graded[-1][0]}"
+    line = m.codes(text)
+    (state,), _, (gist,) = m.decode([line])
+    cost, seats = m.surprisal(line >> 1), line >> 1
+    a = 0
+    for i in range(1, len(line) + 1):
+        if i == len(line) or state[i] != state[a]:
+            own = [cost[j] for j in range(a, i) if 0 <= seats[j] < len(m.ids)]
+            weight = np.exp(-np.mean(own, 0))
+            assert gist[a:i] == pytest.approx((weight * np.array(m.bands)).sum() / weight.sum(), rel=1e-9)
+            a = i
+    assert len(set(gist)) > 1
 
 
 def test_probabilities_sum_to_one(graded):
@@ -30,7 +49,7 @@ def test_decoding_equals_the_best_path(graded):
 
     m = Bands(graded)
     lines = [np.array([m.piece(p) for p in t.split()[:60]], np.int64) for t, _ in graded[::9]]
-    states, _ = m.decode(lines)
+    states, _, _ = m.decode(lines)
     for line, state in zip(lines, states):
         cost = m.surprisal(line >> 1)
         total = lambda s: sum(cost[i, b] for i, b in enumerate(s)) + sum((AT_END if line[i] & 1 else WITHIN) for i in range(len(s) - 1) if s[i] != s[i + 1])  # noqa: E731, B023
