@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from array import array
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -12,60 +15,130 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filmstrip.llm.words import TIME_MARK, Pieces, folded, words
+from filmstrip.llm.words import TIME_MARK, folded, words
 from filmstrip.plans.skew import salted_join
-from filmstrip.session import broadcast_limit, partitions
+from filmstrip.session import broadcast_limit, cut, partitions
 
 # Words that stand for numbers or units in a template.
 NUMBERS = "không một hai ba bốn năm sáu bảy tám chín mười vài nhiều zero one two three four five six seven eight nine ten several".split()
 UNITS = "độ phần trăm giây phút giờ mét km m cm kg g lần degrees percent seconds minutes hours metres meters times".split()
-WINDOW, NUMBER, UNIT, NAME = 5, "\x01n", "\x01u", "\x01p"
-_NAME = re.compile(r"(?<![.!?:|\"“«'’(\n])(?<!^)\s([^\W\d_a-z]\w*)")
-
-
-class Template:
-    """Words as ids, with a placeholder for a number, a unit or a name of the queries; made from the queries' texts."""
-
-    def __init__(self, texts: list[str]) -> None:
-        names = {w for t in texts for m in _NAME.findall(t) if m[:1].isupper() for w in words(m)}
-        plain = {w for t in texts for m in re.findall(r"(?<!\w)[^\W\d_]\w*", t) if m.islower() for w in words(m)}
-        self.slots = {w: NAME for w in names - plain} | {folded(w): UNIT for w in UNITS} | {folded(w): NUMBER for w in NUMBERS}
-        self.ids: dict[str, int] = {}
-        self.typed: dict[str, int] = {}
-        for text in texts:
-            for w in words(text):
-                self.ids.setdefault(w, len(self.ids) + 1)
-                self.typed.setdefault(self.slot(w), len(self.typed) + 1)
-
-    def slot(self, word: str) -> str:
-        return NUMBER if word.isdecimal() else self.slots.get(word, word)
-
-    def pair(self, word: str) -> tuple[int, int]:
-        """The ids of the word and of what it is in a template; 0 if no query has it."""
-        return self.ids.get(word, 0), self.typed.get(self.slot(word), 0)
-
-
-def window_keys(typed: np.ndarray) -> np.ndarray:
-    """A key for each window of five template ids; 0 where a word is in no query."""
+WINDOW, NUMBER, UNIT, NAME = 5, 1, 2, 3
+#: Bits of the filter of query windows that documents' windows must pass before they are shuffled: eight megabytes.
+FILTER_BITS = 26
+_SLOTS = {folded(w): UNIT for w in UNITS} | {folded(w): NUMBER for w in NUMBERS}
+_ENDS = re.compile(r"[.!?:|…][\"'”»)]*$")
+_TIMES = np.uint64(0x9E3779B97F4A7C15)
+
+
+def slot(word: str) -> int:
+    """NUMBER or UNIT for a word that stands for one, else 0."""
+    return NUMBER if word.isdecimal() else _SLOTS.get(word, 0)
+
+
+@dataclass
+class View:
+    """Tokens of texts as a template sees them: typed (a slot's number or a word's hash), what a token says (the hash of
+    its words), and the word at which it begins."""
+
+    typed: np.ndarray
+    said: np.ndarray
+    starts: np.ndarray
+
+    def __getitem__(self, part: slice) -> View:
+        starts = self.starts[part.start : part.stop + 1]
+        return View(self.typed[part], self.said[part], starts - starts[0])
+
+
+class Vocabulary(dict):
+    """Numbers of the pieces between white space, and what is known of each: its words' hashes and slots, whether it is
+    capitalised and whether it ends a sentence. The same for every text and query, so it needs no knowledge of either."""
+
+    GAP = "\x00"  # parts texts by unknown words, so that no window spans two
+
+    def __init__(self, most: int = 200_000) -> None:
+        super().__init__()
+        self.most = most
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.count, self.capital, self.end = array("q"), array("b"), array("b")
+        self.hashes, self.typed = array("Q"), array("Q")
+        self[self.GAP] = 0
+        self._add([(0, 0)] * WINDOW, False, True)
+
+    def _add(self, pairs: list[tuple[int, int]], capital: bool, end: bool) -> None:
+        self.count.append(len(pairs))
+        self.capital.append(capital)
+        self.end.append(end)
+        self.hashes.extend(h for h, _ in pairs)
+        self.typed.extend(t for _, t in pairs)
+
+    def __missing__(self, piece: str) -> int:
+        import xxhash
+
+        pairs = []
+        for w in words(piece):
+            h = (xxhash.xxh3_64_intdigest(w) >> 2) | 8
+            pairs.append((h, slot(w) or h))
+        first = piece.lstrip("\"'“‘«([|-–—•>")[:1]
+        self._add(pairs, first.isupper(), bool(_ENDS.search(piece)))
+        self[piece] = n = len(self)
+        return n
+
+    def views(self, texts: list[str]) -> tuple[View, View, np.ndarray, np.ndarray]:
+        """All texts in one line as two views, without and with names as slots, and where each text's tokens begin in
+        either. A name is a capitalised word that doesn't begin a sentence; names and numbers of several words are one."""
+        if len(self) > self.most:
+            self.forget()
+        pieces = [list(map(self.__getitem__, t.split())) for t in texts]
+        flat = np.fromiter(chain.from_iterable((*p, 0) for p in pieces), np.int64, sum(map(len, pieces)) + len(pieces))
+        count = np.array(self.count, np.int64)
+        begin = np.cumsum(count) - count
+        size = count[flat]
+        total, first = int(size.sum()), np.cumsum(size) - size
+        seat = np.arange(total) - np.repeat(first - begin[flat], size)
+        said, typed = np.array(self.hashes, np.uint64)[seat], np.array(self.typed, np.uint64)[seat]
+        opens = np.r_[True, np.array(self.end, bool)[flat][:-1]]
+        name = np.repeat(np.array(self.capital, bool)[flat] & ~opens, size) & (typed == said) & (said > 0)
+        named = np.where(name, np.uint64(NAME), typed)
+        keep = np.r_[True, ~((named[1:] == named[:-1]) & ((named[1:] == NAME) | (named[1:] == NUMBER)))] if total else np.zeros(0, bool)
+        at = np.flatnonzero(keep)
+        gaps = np.flatnonzero(flat == 0)
+        ends = first[gaps] + WINDOW
+        texts_at = np.r_[0, ends[:-1]] if len(ends) else ends
+        joined = np.zeros(len(at), np.uint64)
+        if total:
+            with np.errstate(over="ignore"):
+                joined = np.add.reduceat(said * (np.arange(total, dtype=np.uint64) - np.repeat(at, np.diff(np.r_[at, total])).astype(np.uint64) + np.uint64(1)), at)
+        return View(typed, said, np.arange(total + 1)), View(named[at], joined, np.r_[at, total]), texts_at, np.searchsorted(at, texts_at)
+
+
+def window_keys(typed: np.ndarray, seed: int) -> np.ndarray:
+    """A key for each window of five tokens; 0 where one of them is unknown."""
     n = len(typed) - WINDOW + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    key, known = np.zeros(n, np.uint64), np.ones(n, bool)
+    key, known = np.full(n, seed, np.uint64), np.ones(n, bool)
     with np.errstate(over="ignore"):
         for k in range(WINDOW):
             part = typed[k : k + n]
             known &= part > 0
-            key = key * np.uint64(0x9E3779B97F4A7C15) + part.astype(np.uint64)
+            key = (key ^ (key >> np.uint64(29))) * _TIMES + part
+        key ^= key >> np.uint64(32)
     return np.where(known, key | np.uint64(1), np.uint64(0))
 
 
-def shared_stretch(query: list[int], doc: list[int], at: int, least: int, per: int) -> bool:
+def shared_stretch(query: list[int], doc: list[int], at: int, least: int, per: int, starts: list[int] | None = None) -> bool:
     """Whether doc near `at` (where the query would begin) has `least` or more consecutive query words, with at most
     one word put in or exchanged for each `per` words of the stretch, which begins and ends with equal words.
 
-    Maximal equal runs are chained: between two runs the doc may have as many words as the query, or more.
+    Maximal equal runs are chained: between two runs the doc may have as many words as the query, or more. starts, if
+    given, says at which word each of the query's tokens begins and where the last one ends; then stretches are measured
+    by it.
     """
-    slack = len(query) // per + 1
+    starts = starts or range(len(query) + 1)
+    slack = starts[-1] // per + 1
     lo, hi = max(0, at - slack), min(len(doc), at + len(query) + 2 * slack)
     where = defaultdict(list)
     for d in range(lo, hi):
@@ -77,7 +150,7 @@ def shared_stretch(query: list[int], doc: list[int], at: int, least: int, per: i
                 n = 1
                 while q + n < len(query) and d + n < hi and query[q + n] == doc[d + n]:
                     n += 1
-                if n >= least:
+                if starts[q + n] - starts[q] >= least:
                     return True
                 runs.append((q, d, n))
     runs.sort()
@@ -87,7 +160,7 @@ def shared_stretch(query: list[int], doc: list[int], at: int, least: int, per: i
             if j not in edits:
                 continue
             q, d, n = runs[j]
-            span = q + n - q0
+            span = starts[q + n] - starts[q0]
             if span >= least and edits[j] * per <= span:
                 return True
             for k in range(j + 1, len(runs)):
@@ -99,6 +172,24 @@ def shared_stretch(query: list[int], doc: list[int], at: int, least: int, per: i
     return False
 
 
+class Bound:
+    """What is known of a query's stretches whatever the document: no more of their tokens may be missing from it than
+    there may be edits. So a part of `least` words or more must exist in which words outweigh missing tokens `per` to
+    one; allows() is False only if there is none."""
+
+    def __init__(self, starts: np.ndarray, least: int, per: int) -> None:
+        self.spans, self.per = np.diff(starts), per
+        reach = np.searchsorted(starts, starts - least, side="right") - 1
+        self.ends = np.flatnonzero(reach >= 0)
+        self.reach = reach[self.ends]
+        self.weight = np.zeros(len(starts), np.int64)
+
+    def allows(self, query: np.ndarray, doc: np.ndarray) -> bool:
+        missing = ~(query[:, None] == doc).any(1)
+        np.cumsum(self.spans - self.per * missing, out=self.weight[1:])
+        return bool((self.weight[self.ends] >= np.minimum.accumulate(self.weight)[self.reach]).any())
+
+
 def _near(hits: list[tuple[int, int]], size: int, per: int) -> list[int]:
     """Where the query would begin, for each cluster of window hits (doc place, query place) near a diagonal.
 
@@ -115,134 +206,192 @@ def _near(hits: list[tuple[int, int]], size: int, per: int) -> list[int]:
     return out
 
 
+def consistent(query: View, doc: View, hits: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Query and doc as numbers that are equal where the doc says what the query does, each slot's filling exchanged for
+    the one that it meets most often in the windows found at `hits` (doc place, query place)."""
+    met: dict[tuple[int, int], Counter] = defaultdict(Counter)
+    for d, q in hits:
+        for k in range(WINDOW):
+            kind = int(query.typed[q + k])
+            if kind <= NAME:
+                met[kind, int(query.said[q + k])][int(doc.said[d + k])] += 1
+    put = {slot: min(c, key=lambda v: (-c[v], v != slot[1], v)) for slot, c in met.items()}
+    own, other = query.typed.astype(np.int64), doc.typed.astype(np.int64)
+    for line, view, fillings in ((own, query, put), (other, doc, {})):
+        for i in np.flatnonzero((line > 0) & (line <= NAME)).tolist():
+            kind, said = int(line[i]), int(view.said[i])
+            line[i] = hash((kind, fillings.get((kind, said), said))) >> 2
+    return own, other
+
+
 class Matcher:
     """Documents against a set of queries that every task holds; its size is checked by leaks()."""
 
-    def __init__(self, queries: list[tuple[str, str]], least: int, per: int, template: Template | None = None) -> None:
+    def __init__(self, queries: list[tuple[str, str]], least: int, per: int) -> None:
         self.least, self.per = least, per
-        self.template = template or Template([t for _, t in queries])
         self.names = [q for q, _ in queries]
-        self.texts = [[self.template.ids[w] for w in words(t)] for _, t in queries]
-        places = defaultdict(list)
+        vocabulary = Vocabulary()
+        self.queries, self.bounds = [], []
+        places = [defaultdict(list), defaultdict(list)]
         for i, (_, text) in enumerate(queries):
-            typed = np.array([self.template.pair(w)[1] for w in words(text)], np.int64)
-            for at, key in enumerate(window_keys(typed)):
-                places[int(key)].append((i, at))
-        self.places = dict(places)
-        self.keys = np.array(sorted(self.places), np.uint64)
-
-    def pieces(self) -> Pieces:
-        return Pieces(lambda piece: tuple(self.template.pair(w) for w in words(piece)))
-
-    def tokens(self, text: str, pieces: Pieces) -> list[tuple[int, int]]:
-        return list(chain.from_iterable(map(pieces.__getitem__, text.split())))
-
-    def verify(self, query: int, tokens: list[int], hits: list[tuple[int, int]]) -> bool:
-        q = self.texts[query]
-        return any(shared_stretch(q, tokens, at, self.least, self.per) for at in _near(hits, len(q), self.per))
-
-    def found(self, texts: list[str], pieces: Pieces) -> Iterator[tuple[int, int]]:
-        """(number of the text, number of the query) for each text with a passage of a query."""
-        tokens = [self.tokens(t, pieces) for t in texts]
-        sizes = np.array([len(t) for t in tokens])
-        ends = np.cumsum(sizes + WINDOW)  # as many unknown words between texts: no window spans two
-        flat = np.zeros(int(ends[-1]) if len(ends) else 0, np.int64)
-        for t, end in zip(tokens, ends):
-            if t:
-                flat[end - WINDOW - len(t) : end - WINDOW] = [p for _, p in t]
-        keys = window_keys(flat)
-        if not len(keys) or not len(self.keys):
-            return
-        seats = np.flatnonzero(keys)
-        near = np.minimum(np.searchsorted(self.keys, keys[seats]), len(self.keys) - 1)
-        seats = seats[self.keys[near] == keys[seats]]
-        owner = np.searchsorted(ends, seats, side="right")
-        for n in np.unique(owner):
-            start = int(ends[n] - WINDOW - sizes[n])
-            hits = defaultdict(list)
-            for s in seats[np.searchsorted(owner, n) : np.searchsorted(owner, n, side="right")]:
-                for q, at in self.places[int(keys[s])]:
-                    hits[q].append((int(s) - start, at))
-            plain = None
-            for q, own in hits.items():
-                plain = plain or [w for w, _ in tokens[n]]
-                if self.verify(q, plain, own):
-                    yield int(n), q
+            *views, _, _ = vocabulary.views([TIME_MARK.sub(" ", text)])
+            views = [v[0 : len(v.typed) - WINDOW] for v in views]
+            self.queries.append(views)
+            self.bounds.append([Bound(v.starts, least, per) for v in views])
+            says = [window_keys(v.said, seed + 1).tolist() for seed, v in enumerate(views)]
+            for seed, view in enumerate(views):
+                for at, key in enumerate(window_keys(view.typed, seed + 1).tolist()):
+                    places[seed][key].append((i, at, says[seed][at]))
+        self.places = [dict(p) for p in places]
+        self.keys = [np.array(sorted(p), np.uint64) for p in places]
+
+    def hits(self, seed: int, view: View, texts_at: np.ndarray) -> dict[tuple[int, int], list[tuple[int, int, bool]]]:
+        """(text, query): the places, in the text and in the query, of the windows that both have, and whether they say
+        the same there."""
+        keys, known = window_keys(view.typed, seed + 1), self.keys[seed]
+        out = defaultdict(list)
+        if len(keys) and len(known):
+            seats = np.flatnonzero(keys)
+            near = np.minimum(np.searchsorted(known, keys[seats]), len(known) - 1)
+            seats = seats[known[near] == keys[seats]]
+            owner = np.searchsorted(texts_at, seats, side="right") - 1
+            said = window_keys(view.said, seed + 1)[seats]
+            for s, n, key, says in zip((seats - texts_at[owner]).tolist(), owner.tolist(), keys[seats].tolist(), said.tolist()):
+                for q, at, own in self.places[seed][key]:
+                    out[n, q].append((s, at, own == says))
+        return out
+
+    def kind(self, query: int, docs: list[View], hits: list[list[tuple[int, int, bool]]]) -> str | None:
+        """'words' if the doc has a passage of the query in its own words, 'template' if it has one with other, but
+        consistent, fillings of its slots. The first must have a window in common that says the same, as any twenty
+        words with one edit in seven have a run of five; the second one that doesn't."""
+        for kind, number in (("words", 1), ("template", 2)):
+            for view, bound, doc, found in zip(self.queries[query][:number], self.bounds[query], docs, hits):
+                if all(same != (kind == "words") for _, _, same in found):
+                    continue
+                size = int(view.starts[-1])
+                slack = size // self.per + 1
+                for at in _near([(d, q) for d, q, same in found if same or kind == "template"], size, self.per):
+                    low = max(0, at - slack)
+                    near = doc[low : min(len(doc.typed), at + size + 2 * slack)]
+                    own, met = (view.said, near.said) if kind == "words" else (view.typed, near.typed)
+                    if not bound.allows(own, met):
+                        continue
+                    if kind == "template":
+                        inside = [(d - low, q) for d, q, _ in found if 0 <= d - q - at <= slack and d + WINDOW <= low + len(near.typed)]
+                        own, met = consistent(view, near, inside)
+                    if bound.allows(own, met) and shared_stretch(own.tolist(), met.tolist(), at - low, self.least, self.per, view.starts.tolist()):
+                        return kind
+        return None
+
+    def found(self, texts: list[str], vocabulary: Vocabulary) -> Iterator[tuple[int, int, str]]:
+        """(number of the text, number of the query, kind) for each text with a passage of a query."""
+        plain, named, *at = vocabulary.views([TIME_MARK.sub(" ", t) for t in texts])
+        hits = [self.hits(seed, view, places) for seed, (view, places) in enumerate(zip((plain, named), at))]
+        ends = [np.r_[places[1:], len(view.typed)] for view, places in zip((plain, named), at)]
+        for n, q in sorted(hits[0].keys() | hits[1].keys()):
+            docs = [view[int(places[n]) : int(end[n])] for view, places, end in zip((plain, named), at, ends)]
+            if kind := self.kind(q, docs, [h.get((n, q), []) for h in hits]):
+                yield n, q, kind
 
 
 def leaks(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id: str, query: str, least: int = 20, per: int = 7) -> DataFrame:
-    """doc_id, query_id for each document with `least` or more consecutive words of a query, one in `per` of them at
-    most exchanged or parted by a word put in.
+    """doc_id, query_id, kind for each document with `least` or more consecutive words of a query, one in `per` of them
+    at most exchanged or parted by a word put in: kind 'words' if the words are the query's own, 'template' if numbers,
+    units or names in it have other fillings, the same one wherever the query repeats one.
 
     Words are compared without case, accents, Unicode form and punctuation, and time marks don't count. Numbers, units
-    and the queries' names become typed placeholders; documents and queries meet in windows of five template words, and
-    each meeting is then checked with the words themselves, so that a query with other values in its slots is found
-    only as far as its own words are there. Null and blank texts, null ids and queries of fewer than `least` words give
-    no rows; repeated ids give a pair once for each text that has it, which distinct removes. Other columns are ignored.
+    and names become typed placeholders. Documents and queries meet in windows of five template words, with names as
+    words and with names as placeholders; of the fillings that meet in these windows the commonest is taken for each of
+    the query's, and a place where the document has another one counts as an exchanged word, like any other difference.
+    A word that is in a name's place counts with the name, so `least` is measured by the query's words.
+
+    Null and blank texts, null ids and queries of fewer than `least` words give no rows; repeated ids give a row once
+    for each kind. Other columns are ignored.
 
-    The queries' windows are counted. Up to the session's broadcast limit they go to all tasks, and documents are read
-    once without a shuffle; beyond it windows of both sides are joined by hash and candidates verified after the join.
+    The queries' words are counted. Up to the session's broadcast limit they go to all tasks, and documents are read
+    once without a shuffle; beyond it windows of both sides are joined by hash and the pairs checked after the join, in
+    the same way. A filter of fixed size of the queries' windows keeps the other windows of documents out of the shuffle.
     """
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).dropna()
     q = queries.select(F.col(query_id).alias("query_id"), F.col(query).alias("query")).dropna().distinct()
-    schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, query_id string"
+    schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, query_id string, kind string"
     q = q.withColumn("query_id", F.col("query_id").cast("string"))
     size = q.agg(F.sum(F.size(F.split("query", r"\s+")))).first()[0] or 0
     if size > broadcast_limit(docs.sparkSession):
-        return _joined(d, q, least, per, schema)
+        return _joined(d, cut(q), least, per, schema)
     held = sorted((r.query_id, r.query) for r in q.collect() if len(words(r.query)) >= least)
     return d.mapInArrow(_broadcast_pass(held, least, per), schema).distinct()
 
 
 def _broadcast_pass(held: list[tuple[str, str]], least: int, per: int):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(held, least, per)
-        pieces = matcher.pieces()
+        matcher, vocabulary = Matcher(held, least, per), Vocabulary()
         for batch in batches:
-            rows = list(matcher.found([TIME_MARK.sub(" ", t) for t in batch.column("text").to_pylist()], pieces))
-            ids = batch.column("doc_id").take(pa.array([n for n, _ in rows], pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, pa.array([matcher.names[q] for _, q in rows], pa.string())], ["doc_id", "query_id"])
+            rows = list(matcher.found(batch.column("text").to_pylist(), vocabulary))
+            ids = batch.column("doc_id").take(pa.array([n for n, _, _ in rows], pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, pa.array([matcher.names[q] for _, q, _ in rows], pa.string()), pa.array([k for _, _, k in rows], pa.string())], ["doc_id", "query_id", "kind"])
 
     return run
 
 
+def _bits(keys: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (keys * _TIMES) >> np.uint64(64 - FILTER_BITS)
+
+
 def _joined(d: DataFrame, q: DataFrame, least: int, per: int, schema: str) -> DataFrame:
-    """For query sets of any size: the windows of both sides are rows. Slots are numbers and units alone, which need no
-    knowledge of the whole query set."""
-    windows = "key long, at int"
+    """For query sets of any size: the windows of both sides are rows."""
+    spark = d.sparkSession
 
-    def explode(side: str, id_type: str):  # noqa: ANN202
+    def explode(own: str, kept=None):  # noqa: ANN001, ANN202
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            import xxhash
-
-            slots = Template([])
-            hashed = Pieces(lambda p: tuple((xxhash.xxh3_64_intdigest(slots.slot(w)) >> 1) | 1 for w in words(p)))
+            vocabulary = Vocabulary()
+            bits = None if kept is None else np.frombuffer(kept.value, np.uint8)
             for batch in batches:
-                ids, keys, ats = [], [], []
-                for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    typed = np.array(list(chain.from_iterable(map(hashed.__getitem__, TIME_MARK.sub(" ", t).split()))), np.int64)
-                    found = window_keys(typed).view(np.int64)
-                    ids += [i] * len(found)
-                    keys.append(found)
-                    ats.append(np.arange(len(found), dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string() if id_type == "string" else pa.int64()), pa.array(np.concatenate(keys) if keys else [], pa.int64()), pa.array(np.concatenate(ats) if ats else [], pa.int32())], [side, "key", "at"])
+                *views, a, b = vocabulary.views([TIME_MARK.sub(" ", t) for t in batch.column(1).to_pylist()])
+                for seed, (view, at) in enumerate(zip(views, (a, b))):
+                    keys = window_keys(view.typed, seed + 1)
+                    seats = np.flatnonzero(keys)
+                    if bits is not None:
+                        place = _bits(keys[seats])
+                        seats = seats[(bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0]
+                    owner = np.searchsorted(at, seats, side="right") - 1
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(keys[seats].view(np.int64))], [own, "key"])
 
         return run
 
-    dw = d.select("doc_id", "text").mapInArrow(explode("doc_id", schema.split(",")[0].split()[1]), f"{schema.split(',')[0]}, {windows}")
-    qw = q.select("query_id", "query").mapInArrow(explode("query_id", "string"), f"query_id string, {windows}").withColumnRenamed("at", "q_at")
-    met = salted_join(dw, qw, ["key"])
-    pairs = met.select("doc_id", "query_id").distinct()
-    rows = pairs.join(d.select("doc_id", "text"), "doc_id").join(q, "query_id").select("doc_id", "text", "query_id", "query")
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << FILTER_BITS, bool)
+        for batch in batches:
+            bits[_bits(batch.column("key").to_numpy().view(np.uint64))] = True
+        chunks = np.packbits(bits, bitorder="little").reshape(-1, 8192)
+        some = np.flatnonzero(chunks.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([chunks[i].tobytes() for i in some], pa.binary())], ["chunk", "bits"])
+
+    def either(group: pa.Table) -> pa.Table:
+        every = np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in group.column("bits").to_pylist()])
+        return pa.table({"chunk": group.column("chunk").slice(0, 1), "bits": pa.array([every.tobytes()], pa.binary())})
+
+    qw = cut(q.mapInArrow(explode("query_id"), "query_id string, key long").distinct())
+    parts = qw.select("key").mapInArrow(marked, "chunk int, bits binary").groupBy("chunk").applyInArrow(either, "chunk int, bits binary").collect()  # 1,024 at most
+    whole = np.zeros((1 << FILTER_BITS - 16, 8192), np.uint8)
+    for r in parts:
+        whole[r.chunk] = np.frombuffer(r.bits, np.uint8)
+    dw = d.select("doc_id", "text").mapInArrow(explode("doc_id", spark.sparkContext.broadcast(whole.tobytes())), f"{schema.split(',')[0]}, key long").distinct()
+    pairs = cut(salted_join(dw, qw, ["key"]).select("doc_id", "query_id").distinct())
+    rows = salted_join(pairs.join(d.select("doc_id", "text"), "doc_id"), q, ["query_id"]).select("doc_id", "text", "query_id", "query")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary()
+        matcher = lru_cache(1000)(lambda i, w: Matcher([(i, w)], least, per))
         for batch in batches:
-            keep = []
+            keep, kinds = [], []
             for n, (t, i, w) in enumerate(zip(batch.column("text").to_pylist(), batch.column("query_id").to_pylist(), batch.column("query").to_pylist())):
-                m = Matcher([(i, w)], least, per)
-                if next(iter(m.found([TIME_MARK.sub(" ", t)], m.pieces())), None):
+                for _, _, kind in matcher(i, w).found([t], vocabulary):
                     keep.append(n)
+                    kinds.append(kind)
             kept = batch.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([kept.column("doc_id"), kept.column("query_id")], ["doc_id", "query_id"])
+            yield pa.RecordBatch.from_arrays([kept.column("doc_id"), kept.column("query_id"), pa.array(kinds, pa.string())], ["doc_id", "query_id", "kind"])
 
-    return rows.repartition(partitions(d.sparkSession)).mapInArrow(check, schema).distinct()
+    return rows.repartition(partitions(spark)).mapInArrow(check, schema).distinct()

@@ -82,10 +82,15 @@ def p6_subset(spark: SparkSession, sf: str) -> DataFrame:
     return varied_subset(frames, videos, "video_id", "keyframe_id", "image", "frame_index", "pick_size")
 
 
-def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+def p7_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with passages of a query, in its own words or with other fillings of its numbers, units and names."""
     return leaks(table(spark, sf, "documents"), table(spark, sf, "kis_queries"), "doc_id", "text", "query_id", "query")
 
 
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p7_leaks(spark, sf).where("kind = 'words'").select("doc_id", "query_id")
+
+
 def sized_documents(spark: SparkSession, sf: str) -> DataFrame:
     return cut(count_tokens(table(spark, sf, "documents"), "text", keep=["doc_id", "source"]))
 
@@ -107,7 +112,7 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return p9_levels(spark, sf).where("words >= 40 and 2 * hard_words > words").select("doc_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_collapsed": p1_collapsed, "p2_found": p2_found, "p3_found": p3_found, "p3_scored": p3_scored, "p3_validation": p3_validation, "p6_subset": p6_subset, "p7_found": p7_found, "p8_mixture": p8_mixture, "p8_report": p8_report, "p9_levels": p9_levels, "p9_found": p9_found}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p1_found": p1_found, "p1_collapsed": p1_collapsed, "p2_found": p2_found, "p3_found": p3_found, "p3_scored": p3_scored, "p3_validation": p3_validation, "p6_subset": p6_subset, "p7_found": p7_found, "p7_leaks": p7_leaks, "p8_mixture": p8_mixture, "p8_report": p8_report, "p9_levels": p9_levels, "p9_found": p9_found}
 
 _PHRASES = " UNION ALL ".join(f"SELECT regexp_replace(replace(strip_accents('{p}'), 'đ', 'd'), '[^a-z0-9]+', '', 'g') AS k" for p in phrases())
 _MOTION = f"""m AS (SELECT motion, regexp_replace(replace(strip_accents(lower(motion)), 'đ', 'd'), '[^a-z0-9]+', '', 'g') AS bare FROM video_events WHERE motion IS NOT NULL GROUP BY ALL), p AS ({_PHRASES}),

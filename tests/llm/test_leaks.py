@@ -9,10 +9,10 @@ Q1 = "Cảnh này quay đối diện cổng vườn chè: một người phụ n
 Q2 = "The wanted clip opens on a striped umbrella off to one side. A sun burnt dancer very carefully leans on the wall; a moment later another bearded guard about three times pulls an iron gate."
 
 
-def run(spark, docs, queries=(("q1", Q1), ("q2", Q2), ("q0", None), ("qs", "too short a query"))):
+def run(spark, docs, queries=(("q1", Q1), ("q2", Q2), ("q0", None), ("qs", "too short a query")), kind="words"):
     d = spark.createDataFrame([(i, t, "clash") for i, t in docs], "doc_id long, text string, query_id string")
     q = spark.createDataFrame(list(queries), "query_id string, query string")
-    return sorted(tuple(r) for r in leaks(d, q, "doc_id", "text", "query_id", "query").collect())
+    return sorted((r.doc_id, r.query_id) for r in leaks(d, q, "doc_id", "text", "query_id", "query").collect() if r.kind == kind)
 
 
 def marked(words):
@@ -49,6 +49,37 @@ def test_other_values_in_the_slots_are_another_text(spark):
     assert run(spark, [(1, changed)]) == []
 
 
+Q3 = "In the report 12 boats left Port Arden at 7 in the morning and 12 crews from Tile Cape rowed 40 km north while Mira Holt counted 7 flags of Port Arden on the pier"
+
+
+@pytest.mark.parametrize("rows", ["20000", "10"])
+def test_reparameterised_queries_are_found_if_their_slots_are_consistent(spark, rows):
+    def filled(boats, hour, crews, km, flags, port="Port Arden", other=None):
+        return Q3.replace("12 boats", f"{boats} boats").replace("at 7", f"at {hour}").replace("12 crews", f"{crews} crews").replace("40 km", f"{km} km").replace("7 flags", f"{flags} flags").replace("Port Arden on", f"{other or port} on").replace("left Port Arden", f"left {port}").replace("Tile Cape", "Old Salt Bay").replace("Mira Holt", "Jon Ray Vell")
+
+    docs = [(1, Q3), (2, filled(30, 9, 30, 88, 9, "Lund")), (3, filled(30, 9, 31, 88, 8, "Lund", "Vik")), (4, filled("ba mươi", "chín", "ba mươi", 5, "chín")), (5, "In the report of Lund 9 boats left at noon")]
+    spark.conf.set("filmstrip.broadcastRows", rows)
+    try:
+        assert run(spark, docs, (("q3", Q3),)) == [(1, "q3")]
+        assert run(spark, docs, (("q3", Q3),), "template") == [(2, "q3"), (3, "q3"), (4, "q3")]
+        digits = [(1, " ".join(f"w{i} {i}" if i % 4 else f"w{i} {i + 50}" for i in range(1, 15))), (2, " ".join(f"w{i} {7 if i % 2 else 8}" for i in range(1, 15)))]
+        same = (("q", " ".join(f"w{i} 5" for i in range(1, 15))),)
+        assert run(spark, digits, same, "template") == []  # one number can't be many
+    finally:
+        spark.conf.unset("filmstrip.broadcastRows")
+
+
+def test_both_ways_give_the_same_rows(spark):
+    base = "/root/testdata/sf0.01"
+    d, q = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/kis_queries.parquet")
+    found = []
+    for rows in ("20000", "10"):
+        spark.conf.set("filmstrip.broadcastRows", rows)
+        found.append(sorted(map(tuple, leaks(d, q, "doc_id", "text", "query_id", "query").collect())))
+        spark.conf.unset("filmstrip.broadcastRows")
+    assert found[0] == found[1] and len(found[0]) >= 34
+
+
 def test_empty(spark):
     assert run(spark, []) == [] and run(spark, [(1, Q1)], [("q", None)]) == []
 
