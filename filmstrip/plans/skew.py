@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,19 +18,33 @@ def fits(df: DataFrame) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", condition: Column | None = None, rows: int = 200_000) -> DataFrame:
+@dataclass
+class HotKeys:
+    """Keys of more than so many rows, with the salts that each is split into; None if there is none."""
+
+    rows: DataFrame | None
+    small: bool = True
+
+
+def hot_keys(left: DataFrame, on: list[str], rows: int = 200_000) -> HotKeys:
+    """Counts left's keys in a pass of its own, combined before its shuffle."""
+    hot = left.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > rows)
+    hot = cut(hot.select(*on, F.ceil(F.col("__rows") / rows).cast("int").alias(SALTS)))
+    return HotKeys(None) if hot.isEmpty() else HotKeys(hot, fits(hot))
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", condition: Column | None = None, rows: int = 200_000, hot: HotKeys | None = None) -> DataFrame:
     """Joins on equal keys, with left's hot keys (more than `rows` rows) split into salts and right's rows of them repeated.
 
     how: inner, left, left_semi or left_anti; condition may name left columns by "l.x" and right ones by "r.x". Left's
-    keys are counted in a pass of their own, combined before its shuffle. If none is hot, the join is a plain one. The
-    hot keys are at most (rows of left) / `rows`; their table is broadcast if it is within the session's limit, so that
-    left isn't shuffled by key to learn its salts, and joined like any other table beyond it.
+    hot keys are counted, unless `hot` gives them, as of a table that left is a part of. If none is hot, the join is a
+    plain one. The hot keys are at most (rows of left) / `rows`; their table is broadcast if it is within the session's
+    limit, so that left isn't shuffled by key to learn its salts, and joined like any other table beyond it.
     """
-    hot = left.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > rows)
-    hot = cut(hot.select(*on, F.ceil(F.col("__rows") / rows).cast("int").alias(SALTS)))
+    hot = hot or hot_keys(left, on, rows)
     a, b, keys = left, right, list(on)
-    if not hot.isEmpty():
-        spread = F.broadcast(hot) if fits(hot) else hot
+    if hot.rows is not None:
+        spread = F.broadcast(hot.rows) if hot.small else hot.rows
         some_salt = F.pmod(F.xxhash64(*left.columns), F.coalesce(SALTS, F.lit(1))).cast("int")
         all_salts = F.explode(F.sequence(F.lit(0), F.coalesce(SALTS, F.lit(1)) - 1))
         a = left.join(spread, on, "left").withColumn(SALT, some_salt).drop(SALTS)

@@ -31,8 +31,22 @@ def test_replay_equals_direct_test(spark):
     r, t = frames(spark, refs, targets)
     state = replay(r, t, [at(500), at(1000), at(1500)])
     assert {x.child_id for x in state.waiting.collect()} == expected(refs, targets)
-    counts = state.snapshot().collect()
-    assert sum(c.orphans for c in counts) == len(expected(refs, targets))
+    counts = state.report(spark).collect()
+    for cut in (500, 1000, 1500, None):
+        known = [x for x in refs if cut is None or x[2] < cut]
+        there = [(k, f, u if u is not None and (cut is None or u < cut) else None) for k, f, u in targets if cut is None or f < cut]
+        assert sum(c.orphans for c in counts if c.as_of == at(cut)) == len(expected(known, there))
+    assert state.segments[0].refs is None and state.segments[-1].refs is not None
+
+
+def test_only_segments_in_reach_are_written_again(spark):
+    r, t = frames(spark, [(1, "a", 10), (2, "b", 500)], [("b", 520, None)])
+    state = Orphans().apply(refs=r.where("child_id = 1")).apply(refs=r.where("child_id = 2"))
+    old = state.segments[0].waiting
+    state.apply(arrived=t)
+    assert state.segments[0].waiting is old and {x.child_id for x in state.waiting.collect()} == {1}
+    state.apply(deleted=spark.createDataFrame([("b", at(520), at(499))], TARGETS))
+    assert state.segments[0].waiting is old and {x.child_id for x in state.waiting.collect()} == {1, 2}
 
 
 def test_arrival_resolves_and_deletion_reopens(spark):
@@ -53,7 +67,7 @@ def test_arrival_resolves_and_deletion_reopens(spark):
 def test_empty_batches(spark):
     r, t = frames(spark, [], [])
     state = Orphans().apply(refs=r, arrived=t).apply(deleted=t)
-    assert state.waiting.count() == 0
+    assert state.waiting is None and state.report(spark).count() == 0
 
 
 def test_stream_batches_feed_the_state(spark, tmp_path):
