@@ -119,7 +119,7 @@ def served_ranking(t: Tables) -> DataFrame:
     return each.select("model", "served", "failed", F.round(good * 100.0 / F.col("served"), 6).alias("success"), F.round("m", 6).alias("mean_chars"), F.row_number().over(Window.orderBy(good.desc(), "model")).alias("place"))
 
 
-@query("""SELECT 'api' || coalesce(' ' || CASE WHEN h LIKE '%429%' THEN '429' WHEN h LIKE '%503%' THEN '503' WHEN h LIKE '%500%' THEN '500' WHEN h LIKE '%403%' THEN '403' WHEN h LIKE '%401%' THEN '401' WHEN h LIKE '%400%' THEN '400' END, '') AS kind, count(*) AS errors FROM (SELECT substr(caption, 1, 200) AS h FROM ca WHERE starts_with(caption, '[')) GROUP BY 1""")
+@query("""SELECT 'api' || coalesce('/' || CASE WHEN h LIKE '%429%' THEN '429' WHEN h LIKE '%503%' THEN '503' WHEN h LIKE '%500%' THEN '500' WHEN h LIKE '%403%' THEN '403' WHEN h LIKE '%401%' THEN '401' WHEN h LIKE '%400%' THEN '400' END, '') AS kind, count(*) AS errors FROM (SELECT substr(caption, 1, 200) AS h FROM ca WHERE starts_with(caption, '[')) GROUP BY 1""")
 def error_kinds(t: Tables) -> DataFrame:
     """Failed captions by the code in their message."""
     rows = t.ca.where(F.col("caption").startswith("["))

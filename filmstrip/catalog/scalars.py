@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from filmstrip.catalog.base import Tables, query
@@ -82,7 +80,7 @@ def error_captions(t: Tables) -> DataFrame:
     return t.ca.select("caption_id", labels.is_error_text(F.col("caption")).alias("failed"))
 
 
-@query("""SELECT caption_id, regexp_matches(lower(caption), 'rồi|sau đó|tiếp theo|trước khi|sau khi|ban đầu|lúc đầu|cuối cùng') AS tells_order,
+@query("""SELECT caption_id, regexp_matches(lower(caption), '(ban đầu|lúc đầu|đầu tiên|rồi |sau đó|tiếp theo|tiếp đó|cuối cùng|trước khi|sau khi|khi đó|dần dần|liền |ngay sau|đang[^\n\r]{0,30}thì)') AS tells_order,
     regexp_matches(lower(caption), 'người|đàn ông|phụ nữ|cô gái|chàng trai|cụ ông|cụ bà') AS has_person,
     len(list_filter(string_split_regex(caption, '\\s+'), lambda x: x <> '')) AS words, substr(caption, 1, 40) AS head FROM ca WHERE caption IS NOT NULL""")
 def caption_flags(t: Tables) -> DataFrame:
@@ -147,24 +145,22 @@ def decode_guard(t: Tables) -> DataFrame:
 _RAW = "concat_ws(chr(10), 'Đây là nhãn:', '2 | ' || coalesce(action, ''), '9 | x', '1. ' || coalesce(motion, ''))"
 
 
-@query(f"""SELECT id, coalesce(trim(motion), '') AS slot1, CASE WHEN trim(coalesce(action, '')) = '' THEN '' ELSE trim(action) END AS slot2, '' AS slot3,
-    md5({_RAW}) AS raw_md5 FROM ev WHERE coalesce(action, '') NOT LIKE '%' || chr(10) || '%' AND regexp_matches(coalesce(motion, ''), '^[^\\s].*[^\\s]$') AND coalesce(action, '') = trim(coalesce(action, ''))""")
-def label_slots(t: Tables) -> DataFrame:
-    """Labels from numbered lines of an answer: the order of lines doesn't matter, numbers out of range are ignored. The
-    rows that its SQL can say; label_slots_whole has all."""
-    return _slots(t.ev.where(~F.coalesce("action", F.lit("")).contains("\n") & F.coalesce("motion", F.lit("")).rlike(r"^[^\s].*[^\s]$") & (F.coalesce("action", F.lit("")) == F.trim(F.coalesce("action", F.lit(""))))))
+_LINE = "'^\\s*[-*•]?\\s*([0-9]{1,2})\\s*[|.):-]\\s*(.+?)\\s*$'"
 
 
-def _slots(events: DataFrame) -> DataFrame:
-    raw = F.concat_ws("\n", F.lit("Đây là nhãn:"), F.concat(F.lit("2 | "), F.coalesce("action", F.lit(""))), F.lit("9 | x"), F.concat(F.lit("1. "), F.coalesce("motion", F.lit(""))))
-    slots = events.select("id", labels.label_slots(raw, F.lit(3)).alias("s"), F.md5(raw).alias("raw_md5"))
-    return slots.select("id", *[F.get("s", F.lit(k)).alias(f"slot{k + 1}") for k in range(3)], "raw_md5")
+def _slot(k: int) -> str:
+    return f"coalesce(regexp_extract(list_filter(numbered, lambda x: regexp_extract(x, {_LINE}, 1)::INT = {k})[1], {_LINE}, 2), '') AS slot{k}"
 
 
-@query()
-def label_slots_whole(t: Tables) -> DataFrame:
-    """Labels of all events, also null, blank, untrimmed and multi-line ones. Tested against a plain loop."""
-    return _slots(t.ev)
+@query(f"""WITH r AS (SELECT id, {_RAW} AS raw FROM ev), l AS (SELECT id, raw, list_filter(list_transform(string_split_regex(raw, '[\n\r]+'), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') AS lines FROM r),
+    k AS (SELECT id, raw, list_filter(lines, lambda x: regexp_matches(x, {_LINE})) AS numbered FROM l)
+    SELECT id, {_slot(1)}, {_slot(2)}, {_slot(3)}, md5(raw) AS raw_md5 FROM k""")
+def label_slots(t: Tables) -> DataFrame:
+    """Labels from numbered lines of an answer to each event, also where its texts are null, blank, untrimmed or of
+    several lines: the order of lines doesn't matter, numbers out of range are ignored."""
+    raw = F.concat_ws("\n", F.lit("Đây là nhãn:"), F.concat(F.lit("2 | "), F.coalesce("action", F.lit(""))), F.lit("9 | x"), F.concat(F.lit("1. "), F.coalesce("motion", F.lit(""))))
+    slots = t.ev.select("id", labels.label_slots(raw, F.lit(3)).alias("s"), F.md5(raw).alias("raw_md5"))
+    return slots.select("id", *[F.get("s", F.lit(k)).alias(f"slot{k + 1}") for k in range(3)], "raw_md5")
 
 
 @query("""SELECT query_id, trim(query) AS query, least(greatest(coalesce(distinct_score, 0), 0), 5) AS distinct_score, coalesce(note, '') AS note FROM kis_queries WHERE trim(query) <> ''""")
@@ -176,11 +172,15 @@ def fenced_queries(t: Tables) -> DataFrame:
     return got.select("query_id", F.col("g.query").alias("query"), F.col("g.distinct").alias("distinct_score"), F.col("g.note").alias("note"))
 
 
-@query("""SELECT event_id, (event_id % 60)::DOUBLE + 0.5 AS retry_seconds, 'requests_per_' || event_type AS metric, CAST(user_id AS INTEGER) AS quota_limit,
-    event_type = 'click' AS daily, 'Busy 429' AS kind FROM events""")
+_MESSAGE = """'Quota exceeded for metric: svc/v1/requests_per_' || event_type || CASE event_type WHEN 'click' THEN '_per_day' WHEN 'view' THEN 'PerDay' ELSE '' END || ', limit: ' || user_id || ', model: m. Please retry in ' || (event_id % 400) || '.5s. 429'"""
+
+
+@query(f"""SELECT event_id, regexp_extract(m, 'retry in ([0-9.]+)s', 1)::DOUBLE AS retry_seconds, string_split(split_part(split_part(m, 'metric: ', 2), ',', 1), '/')[-1] AS metric, split_part(split_part(m, 'limit: ', 2), ',', 1)::INT AS quota_limit,
+    event_type IN ('click', 'view') OR user_id >= 1000 OR event_id % 400 >= 300 AS daily, 'Busy/429' AS kind FROM (SELECT *, {_MESSAGE} AS m FROM events)""")
 def quota_messages(t: Tables) -> DataFrame:
-    """What a service's quota messages say."""
-    message = F.format_string('Please retry in %d.5s. {"quota_metric: api/v1/requests_per_%s", limit: %d} %s 429', F.col("event_id") % 60, F.col("event_type"), F.col("user_id"), F.when(F.col("event_type") == "click", "RequestsPerDay").otherwise("PerMinute"))
+    """What a service's quota messages say, in the form that such messages have."""
+    day = F.when(F.col("event_type") == "click", "_per_day").when(F.col("event_type") == "view", "PerDay").otherwise("")
+    message = F.format_string("Quota exceeded for metric: svc/v1/requests_per_%s%s, limit: %d, model: m. Please retry in %d.5s. 429", F.col("event_type"), day, F.col("user_id"), F.col("event_id") % 400)
     q = labels.quota_message(message)
     return t.raw("events").select("event_id", q["retry_seconds"].alias("retry_seconds"), q["metric"].alias("metric"), q["limit"].alias("quota_limit"), q["daily"].alias("daily"), labels.error_kind(F.lit("Busy"), message).alias("kind"))
 
@@ -200,23 +200,16 @@ def motion_phrases(t: Tables) -> DataFrame:
     return t.ev.where("mag_mean is not null").select("id", labels.motion_phrase(dx, dy, F.col("mag_mean"), co).alias("phrase"))
 
 
-@query("""SELECT caption_id, trim(regexp_replace(caption, '\\nTEXT:[\\s\\S]*$', '')) AS said, CASE WHEN seen = '(không có)' THEN '' ELSE seen END AS seen
-    FROM (SELECT *, trim(regexp_extract(caption, '\\nTEXT:([\\s\\S]*)$', 1)) AS seen FROM ca WHERE caption IS NOT NULL AND caption NOT LIKE chr(10) || '%' AND caption NOT LIKE '%' || chr(10))""")
-def caption_parts(t: Tables) -> DataFrame:
-    """Captions and the words seen on screen, taken apart. The rows that its SQL can say; caption_parts_whole has all."""
-    return _parts(t.ca.where(F.col("caption").isNotNull() & ~F.col("caption").startswith("\n") & ~F.col("caption").endswith("\n")))
-
-
-def _parts(captions: DataFrame, strip: Callable[[Column], Column] = F.trim) -> DataFrame:
-    c = labels.split_caption(F.col("caption"), strip)
-    return captions.select("caption_id", c["caption"].alias("said"), c["seen"].alias("seen"))
+_ENDS = "'^\\s+|\\s+$', '', 'g'"
 
 
-@query()
-def caption_parts_whole(t: Tables) -> DataFrame:
-    """All captions taken apart, also null ones and those that begin or end with a line break. Tested against a plain
-    loop."""
-    return _parts(t.ca, labels.stripped)
+@query(f"""SELECT caption_id, regexp_replace(regexp_replace(caption, '\\nTEXT:[\\s\\S]*$', ''), {_ENDS}) AS said, CASE WHEN seen = '(không có)' THEN '' ELSE seen END AS seen
+    FROM (SELECT *, regexp_replace(regexp_extract(caption, '\\nTEXT:([\\s\\S]*)$', 1), {_ENDS}) AS seen FROM ca)""")
+def caption_parts(t: Tables) -> DataFrame:
+    """All captions and the words seen on screen, taken apart, also null ones and those that begin or end with a line
+    break."""
+    c = labels.split_caption(F.col("caption"), labels.stripped)
+    return t.ca.select("caption_id", c["caption"].alias("said"), c["seen"].alias("seen"))
 
 
 @query("""SELECT video_id, s AS seconds, CASE WHEN s >= 3600 THEN printf('%dh%02dm%02ds', s // 3600, s % 3600 // 60, s % 60) WHEN s >= 60 THEN printf('%dm%02ds', s // 60, s % 60) ELSE printf('%ds', s) END AS text

@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Words and limits of a motion phrase.
+# Words and limits of a motion phrase, and what answers and messages are read by.
 STILL, IN_PLACE, CAMERA, SUBJECT = "gần như tĩnh", "chuyển động tại chỗ", "camera lia sang", "chủ thể/vật di chuyển sang"
 LEFT, RIGHT, UP, DOWN = "trái", "phải", "lên", "xuống"
 LIGHT, MEDIUM, STRONG = "nhẹ", "vừa", "mạnh"
 NO_TEXT = "(không có)"
 ERROR_CODES = ("429", "503", "500", "403", "401", "400")
-SEQUENCE_WORDS = ("rồi", "sau đó", "tiếp theo", "trước khi", "sau khi", "ban đầu", "lúc đầu", "cuối cùng")
+SEQUENCE_WORDS = ("ban đầu", "lúc đầu", "đầu tiên", "rồi ", "sau đó", "tiếp theo", "tiếp đó", "cuối cùng", "trước khi", "sau khi", "khi đó", "dần dần", "liền ", "ngay sau", "đang.{0,30}thì")
+ERROR_OPENINGS = ("[lỗi", "[hết quota")
+LABEL_LINE = r"^\s*[\-*•]?\s*(\d{1,2})\s*[|.):\-]\s*(.+?)\s*$"
+DAILY_MARKS, DAILY_LIMIT, DAILY_RETRY = ("perday", "per day", "per_day"), 1000, 300
 PERSON_WORDS = ("người", "đàn ông", "phụ nữ", "cô gái", "chàng trai", "cụ ông", "cụ bà")
 
 
@@ -24,17 +27,18 @@ def is_error_text(text: Column) -> Column:
 
 def stripped(text: Column) -> Column:
     """Without white space of any kind at its ends."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
 def label_slots(raw: Column, n: Column) -> Column:
     """The n labels of a model's answer, '' where it has none.
 
-    A line "k | text", "k. text", "k) text", "k: text" or "k - text" fills slot k if that is 1..n and still empty. If no
-    line is numbered, lines fill slots in order. A null, blank or error answer leaves all slots empty.
+    A line "k | text", "k. text", "k) text", "k: text" or "k - text", also with a bullet before it, fills slot k if that
+    is 1..n and still empty. If no line is numbered, lines fill slots in order. A null or blank answer, and one that opens
+    like an error, leaves all slots empty; another answer in brackets is text.
     """
-    pattern = r"^\s*(\d+)\s*[|.):\-]\s*(.+?)\s*$"
-    lines = F.filter(F.transform(F.split(F.coalesce(raw, F.lit("")), "\n"), stripped), lambda x: x != "")
+    pattern = LABEL_LINE
+    lines = F.filter(F.transform(F.split(F.coalesce(raw, F.lit("")), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"), stripped), lambda x: x != "")
     numbered = F.filter(lines, lambda x: x.rlike(pattern))
     slots = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
 
@@ -45,7 +49,8 @@ def label_slots(raw: Column, n: Column) -> Column:
     by_number = F.transform(slots, of)
     in_order = F.transform(slots, lambda k: F.coalesce(F.get(lines, k - 1), F.lit("")))
     empty = F.transform(slots, lambda k: F.lit(""))
-    out = F.when(is_error_text(raw), empty).when(F.size(numbered) > 0, by_number).otherwise(in_order)
+    failed = F.coalesce(stripped(raw).rlike("^(?:" + "|".join(x.replace("[", r"\[") for x in ERROR_OPENINGS) + ")"), F.lit(True))
+    out = F.when(failed, empty).when(F.size(numbered) > 0, by_number).otherwise(in_order)
     return F.when(n < 1, F.array().cast("array<string>")).otherwise(out)
 
 
@@ -58,19 +63,21 @@ def fenced_query(raw: Column) -> Column:
 
 
 def quota_message(message: Column) -> Column:
-    """Struct of retry_seconds, metric (last part), limit and daily of a service's quota message."""
+    """Struct of retry_seconds, metric (the last part of its path, or "unknown"), limit and daily of a service's quota
+    message. daily says that the quota is one of a day: by its words, by a limit of a thousand, or by a long wait."""
     retry = F.regexp_extract(message, r"retry in ([0-9.]+)s", 1).try_cast("double")
-    metric = F.substring_index(F.regexp_extract(message, r"quota_metric: ?\"?([^\",\s]+)", 1), "/", -1)
-    limit = F.regexp_extract(message, r"limit: ?(\d+)", 1).try_cast("int")
-    daily = message.contains("PerDay") | F.lower(message).contains("per day")
+    path = F.regexp_extract(message, r"metric:\s*([^\s,]+)", 1)
+    metric = F.when(path == "", "unknown").otherwise(F.substring_index(path, "/", -1))
+    limit = F.regexp_extract(message, r"limit:\s*([0-9]+)", 1).try_cast("int")
+    daily = F.lower(message).rlike("|".join(DAILY_MARKS)) | F.coalesce(limit >= DAILY_LIMIT, F.lit(False)) | F.coalesce(retry > DAILY_RETRY, F.lit(False))
     return F.struct(retry.alias("retry_seconds"), metric.alias("metric"), limit.alias("limit"), daily.alias("daily"))
 
 
 def error_kind(kind: Column, message: Column) -> Column:
-    """The error's type and the first known status code in the first 200 characters."""
+    """The error's type and, after a slash, the first known status code that its first 200 characters have."""
     head = F.substring(message, 1, 200)
     code = F.coalesce(*[F.when(head.contains(c), F.lit(c)) for c in ERROR_CODES])
-    return F.concat(kind, F.coalesce(F.concat(F.lit(" "), code), F.lit("")))
+    return F.concat(kind, F.coalesce(F.concat(F.lit("/"), code), F.lit("")))
 
 
 def level(mag: Column) -> Column:

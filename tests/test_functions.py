@@ -17,6 +17,11 @@ def one(spark, column):
         ("Đây là:\n1. một\n2. hai\n3. ba", 3, ["một", "hai", "ba"]),
         ("một\nhai", 3, ["một", "hai", ""]),
         ("[hết quota]", 3, ["", "", ""]),
+        (" [lỗi api] 429", 1, [""]),
+        ("• 1. chạy\n- 2) nhảy\n* 3: bơi", 3, ["chạy", "nhảy", "bơi"]),
+        ("[1] chạy\nnhảy", 2, ["[1] chạy", "nhảy"]),
+        ("123. chạy", 1, ["123. chạy"]),
+        ("1 | a\r\n2 | b\u20283 | c", 3, ["a", "b", "c"]),
         ("1 | a\n5 | b", 3, ["a", "", ""]),
         (None, 2, ["", ""]),
         ("", 1, [""]),
@@ -27,6 +32,21 @@ def test_label_slots(spark, raw, n, want):
     assert one(spark, labels.label_slots(F.lit(raw).cast("string"), F.lit(n))) == want
 
 
+def test_quota_message(spark):
+    say = lambda text: tuple(one(spark, labels.quota_message(F.lit(text))))
+    assert say("Quota exceeded for metric: generativelanguage.example/requests, limit: 30, model: m. Please retry in 39.8s.") == (39.8, "requests", 30, False)
+    assert say("metric: a/b_per_day, limit: 5. retry in 2s") == (2.0, "b_per_day", 5, True)
+    assert say("metric: x, limit: 1000") == (None, "x", 1000, True) and say("retry in 300.5s") == (300.5, "unknown", None, True)
+    assert say("busy") == (None, "unknown", None, False)
+
+
+def test_error_kind_and_order_words(spark):
+    kind = lambda text: one(spark, labels.error_kind(F.lit("Busy"), F.lit(text)))
+    assert kind("503 then 429") == "Busy/429" and kind("x" * 200 + "429") == "Busy" and kind("failed") == "Busy"
+    tells = lambda text: one(spark, labels.has_any(F.lit(text), labels.SEQUENCE_WORDS))
+    assert all(map(tells, ["Đầu tiên anh chạy", "chạy rồi ngã", "đang ngồi thì đứng", "liền nhảy", "dần dần"])) and not any(map(tells, ["rồi", "đang ngồi"]))
+
+
 def test_motion_phrase(spark):
     say = lambda dx, dy, m, c: one(spark, labels.motion_phrase(F.lit(dx), F.lit(dy), F.lit(m), F.lit(c)))
     assert say(1.0, 0.0, 0.2, 0.9) == "gần như tĩnh"
