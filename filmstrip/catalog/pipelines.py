@@ -10,7 +10,7 @@ from filmstrip.functions import frames, labels, pixels
 from filmstrip.operators import folds
 from filmstrip.operators.joins import nearest_in_pool
 from filmstrip.plans.localise import localise
-from filmstrip.plans.segmentation import keyframes, segment
+from filmstrip.plans.segmentation import segment
 
 
 @query("""SELECT e.id, (SELECT arg_min(keyframe_id, abs(frame_idx - e.anchor_frame) * 100000000 + frame_idx) FROM kf WHERE kf.video_id = e.video_id AND frame_idx IS NOT NULL) AS rep_keyframe_id FROM ev e WHERE anchor_frame IS NOT NULL AND video_id IS NOT NULL
@@ -102,12 +102,6 @@ def motion_keyframes(t: Tables) -> DataFrame:
     return rows.select("video_id", "scene_id", F.array_join(folds.fill_gaps(F.col("at"), F.col("all"), 30).cast("array<string>"), ",").alias("frames"))
 
 
-@query("SELECT video_id, shot_index, (start_frame + end_frame) // 2 AS frame_idx FROM sh")
-def middle_keyframes(t: Tables) -> DataFrame:
-    """The strategy that takes each shot's middle."""
-    return keyframes("middle", t.sh)
-
-
 @query()
 def picture_looks(t: Tables) -> DataFrame:
     """Brightness and colours of every keyframe. Tested on known pictures."""

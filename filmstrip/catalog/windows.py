@@ -83,10 +83,13 @@ def boundary_peaks(t: Tables) -> DataFrame:
     return samples(t).withColumn("peak", W.is_peak(F.col("b"), by, 0.25)).where("peak").select("id")
 
 
-@query("""WITH g AS (SELECT video_id, keyframe_id, frame_idx, length(keyframe_path) * 1000 + frame_idx % 997 AS size FROM kf WHERE video_id IS NOT NULL AND frame_idx IS NOT NULL), r AS (SELECT *, row_number() OVER o - 1 AS i, count(*) OVER (PARTITION BY video_id) AS m, greatest(max(size) OVER (PARTITION BY video_id), 1e-12) AS top,
-    lead(size, 1) OVER o AS s1, lead(size, 2) OVER o AS s2, lead(size, 3) OVER o AS s3 FROM g WINDOW o AS (PARTITION BY video_id ORDER BY frame_idx)), s AS (SELECT *, coalesce((coalesce(a1 / sqrt(1 + a1 * a1 + 1e-12::DOUBLE), 0) + coalesce(a2 / sqrt(4 + a2 * a2 + 1e-12::DOUBLE), 0) + coalesce(a3 / sqrt(9 + a3 * a3 + 1e-12::DOUBLE), 0)) / nullif((s1 IS NOT NULL)::INT + (s2 IS NOT NULL)::INT + (s3 IS NOT NULL)::INT, 0), 0) AS st
-    FROM (SELECT *, abs(s1 - size) * 100.0::DOUBLE / top AS a1, abs(s2 - size) * 100.0::DOUBLE / top AS a2, abs(s3 - size) * 100.0::DOUBLE / top AS a3 FROM r)), k AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY st DESC, i) <= greatest(1, floor(0.02::DOUBLE * (m - 1))) AND (m > 2 OR i = 0) AS steep, i // 20 AS win FROM s),
-    c AS (SELECT *, max(steep::INT) OVER (PARTITION BY video_id, win) AS has, row_number() OVER (PARTITION BY video_id, win ORDER BY st DESC, i) AS wr FROM k) SELECT video_id, frame_idx, CASE WHEN steep THEN 'steep' ELSE 'cover' END AS pick FROM c WHERE steep OR (has = 0 AND wr = 1 AND m > 2)""")
+_STEEP = """r AS (SELECT *, row_number() OVER o - 1 AS i, count(*) OVER (PARTITION BY video_id) AS m, greatest(max(size) OVER (PARTITION BY video_id), 1e-12) AS top,
+    lead(size, 1) OVER o AS s1, lead(size, 2) OVER o AS s2, lead(size, 3) OVER o AS s3 FROM g WINDOW o AS (PARTITION BY video_id ORDER BY frame_idx)), s AS (SELECT *, (coalesce(a1 / sqrt(1 + a1 * a1 + 1e-12::DOUBLE), 0) + coalesce(a2 / sqrt(4 + a2 * a2 + 1e-12::DOUBLE), 0) + coalesce(a3 / sqrt(9 + a3 * a3 + 1e-12::DOUBLE), 0)) / nullif((s1 IS NOT NULL)::INT + (s2 IS NOT NULL)::INT + (s3 IS NOT NULL)::INT, 0) AS st
+    FROM (SELECT *, (s1 - size) * 100.0::DOUBLE / top AS a1, (s2 - size) * 100.0::DOUBLE / top AS a2, (s3 - size) * 100.0::DOUBLE / top AS a3 FROM r)), k AS (SELECT *, CASE WHEN m > 2 THEN row_number() OVER (PARTITION BY video_id ORDER BY st DESC NULLS LAST, i) <= greatest(1, floor(0.02::DOUBLE * (m - 1))) AND st IS NOT NULL ELSE i = 0 END AS steep, i // {win} AS win FROM s),
+    c AS (SELECT *, max(steep::INT) OVER (PARTITION BY video_id, win) AS has, row_number() OVER (PARTITION BY video_id, win ORDER BY st DESC NULLS LAST, i) AS wr FROM k), picks AS (SELECT video_id, frame_idx, CASE WHEN steep THEN 'steep' ELSE 'cover' END AS pick FROM c WHERE steep OR (has = 0 AND wr = 1 AND m > 2 AND st IS NOT NULL))"""
+
+
+@query(f"""WITH g AS (SELECT video_id, keyframe_id, frame_idx, length(keyframe_path) * 1000 + frame_idx % 997 AS size FROM kf WHERE video_id IS NOT NULL AND frame_idx IS NOT NULL), {_STEEP.replace('{win}', '20')} SELECT video_id, frame_idx, pick FROM picks""")
 def steep_keyframes(t: Tables) -> DataFrame:
     """The samples where sizes change most, and one in each window without any."""
     g = t.kf.dropna(subset=["video_id", "frame_idx"]).select("video_id", "frame_idx", (F.length("keyframe_path") * 1000 + F.col("frame_idx") % 997).cast("double").alias("size"))

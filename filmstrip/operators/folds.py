@@ -33,9 +33,10 @@ def distinct_from_all(df: DataFrame, apart: Callable[[Column, Column], Column],
     return df.withColumn("kept", _keep(F.col("items"), kind_of(df), lambda kept, x: F.forall(kept, lambda y: apart(y, x) > threshold)))
 
 
-def changed_from_last(df: DataFrame, apart: Callable[[Column, Column], Column], threshold: float, gap: Callable[[Column, Column], Column] | None = None, min_gap: float = 0, most: int | None = None) -> DataFrame:
+def changed_from_last(df: DataFrame, apart: Callable[[Column, Column], Column], threshold: float, gap: Callable[[Column, Column], Column] | None = None, min_gap: float | Column = 0, most: int | None = None, end_share: float | None = None) -> DataFrame:
     """df with kept: the items farther than threshold from the last one kept and, with gap, at least min_gap after it;
-    `most` items at most, if given."""
+    `most` items at most, if given. With end_share, the last item is kept too, if there is room and it is farther than
+    that share of the threshold from the last one kept, however near in time."""
 
     def differs(kept: Column, x: Column) -> Column:
         last = F.try_element_at(kept, F.lit(-1))
@@ -44,7 +45,14 @@ def changed_from_last(df: DataFrame, apart: Callable[[Column, Column], Column],
             test &= gap(last, x) >= min_gap
         return test if most is None else test & (F.size(kept) < most)
 
-    return df.withColumn("kept", _keep(F.col("items"), kind_of(df), differs))
+    out = df.withColumn("kept", _keep(F.col("items"), kind_of(df), differs))
+    if end_share is None:
+        return out
+    last, end = F.try_element_at("kept", F.lit(-1)), F.try_element_at("items", F.lit(-1))
+    adds = (last != end) & (apart(last, end) > threshold * end_share)
+    if most is not None:
+        adds &= F.size("kept") < most
+    return out.withColumn("kept", F.when(adds, F.concat("kept", F.array(end))).otherwise(F.col("kept")))
 
 
 def clusters(df: DataFrame, apart: Callable[[Column, Column], Column], threshold: float) -> DataFrame:
@@ -127,8 +135,8 @@ def arc_targets(cumulative: Column, n: Column, min_gap: Column | float) -> Colum
     return F.array_sort(F.array_distinct(F.concat(thin, F.array(size - 1))))
 
 
-def max_min_picks(df: DataFrame, apart: Callable[[Column, Column], Column], at: Callable[[Column], Column], most: int, threshold: float, min_gap: float) -> DataFrame:
-    """df with kept: the middle item, then again and again the item least like all kept ones, if that is at least
+def max_min_picks(df: DataFrame, apart: Callable[[Column, Column], Column], at: Callable[[Column], Column], most: int, threshold: float, min_gap: float | Column, middle: Column | None = None) -> DataFrame:
+    """df with kept: the middle item (the one whose position is nearest to `middle`, if given), then again and again the item least like all kept ones, if that is at least
     min_gap from each of them and unlike by threshold or more; `most` items at most, in order of position."""
     item = kind_of(df)
     items = F.col("items")
@@ -139,6 +147,10 @@ def max_min_picks(df: DataFrame, apart: Callable[[Column, Column], Column], at:
         best = F.array_max(scored)
         return F.when(best["d"] >= threshold, F.concat(kept, F.array(best["x"]))).otherwise(kept)
 
-    first = F.array(F.element_at(items, (F.floor(F.size(items) / 2) + 1).cast("int"))).cast(f"array<{item}>")
+    if middle is None:
+        seed = F.element_at(items, (F.floor(F.size(items) / 2) + 1).cast("int"))
+    else:
+        seed = F.array_min(F.transform(items, lambda x: F.struct(F.abs(at(x) - middle).alias("d"), at(x).alias("p"), x.alias("x"))))["x"]
+    first = F.array(seed).cast(f"array<{item}>")
     picks = F.aggregate(F.sequence(F.lit(2), F.lit(most)), first, step) if most > 1 else first
     return df.withColumn("kept", F.array_sort(picks, lambda a, b: F.when(at(a) < at(b), -1).when(at(a) > at(b), 1).otherwise(0)))

@@ -73,29 +73,33 @@ def turning(dx: Column, dy: Column, mag: Column, real: Column, by: WindowSpec, w
     return F.when(real, F.coalesce(F.abs(bm - am) + turn * F.least(am, bm), F.lit(0.0))).otherwise(0.0)
 
 
-def steepness(size: Column, by: WindowSpec, whole: WindowSpec) -> Column:
-    """Mean over the next three samples of how steeply sizes rise or fall: the share of the greatest size, in hundredths,
-    over the length of the step. Null for the last."""
+def steepness(size: Column, by: WindowSpec, whole: WindowSpec, absolute: bool = False) -> Column:
+    """Mean over the next three samples of how steeply sizes rise (or fall, which is negative): the share of the greatest
+    size, in hundredths, over the length of the step. With absolute, rises and falls count alike. Null for the last."""
     top = F.greatest(F.max(size).over(whole), F.lit(1e-12))
     steps = []
     for k in (1, 2, 3):
-        a = F.abs(F.lead(size, k).over(by) - size) * 100.0 / top
+        a = (F.lead(size, k).over(by) - size) * 100.0 / top
         steps.append(a / F.sqrt(k * k + a * a + 1e-12))
     known = [F.when(s.isNotNull(), 1).otherwise(0) for s in steps]
-    return sum((F.coalesce(s, F.lit(0.0)) for s in steps[1:]), F.coalesce(steps[0], F.lit(0.0))) / F.nullif(known[0] + known[1] + known[2], F.lit(0))
+    mean = sum((F.coalesce(s, F.lit(0.0)) for s in steps[1:]), F.coalesce(steps[0], F.lit(0.0))) / F.nullif(known[0] + known[1] + known[2], F.lit(0))
+    return F.abs(mean) if absolute else mean
 
 
-def steepest(df: DataFrame, key: list[str], at: str, size: str, ratio: float, window: int) -> DataFrame:
+def steepest(df: DataFrame, key: list[str], at: str, size: str, ratio: float, window: int | Column, absolute: bool = False) -> DataFrame:
     """df's key and at with pick ('steep' or 'cover'): the steepest share of a group's samples (one at least), and for
-    each tumbling window of `window` samples without one, its steepest. Ties go to the earlier sample."""
+    each tumbling window of `window` samples without one, its steepest. Ties go to the earlier sample. The last sample
+    has no steepness and is never picked, but a group of one or two gives its first."""
     by, whole = over(key, at)
-    rows = df.select(*key, at, size).withColumn("i", F.row_number().over(by) - 1).withColumn("m", F.count(F.lit(1)).over(whole)).withColumn("s", F.coalesce(steepness(F.col(size), by, whole), F.lit(0.0)))
+    rows = df.select(*key, at, size, (window if isinstance(window, Column) else F.lit(window)).alias("w"))
+    rows = rows.withColumn("i", F.row_number().over(by) - 1).withColumn("m", F.count(F.lit(1)).over(whole)).withColumn("s", steepness(F.col(size), by, whole, absolute))
     most = F.greatest(F.lit(1), F.floor(F.lit(ratio) * (F.col("m") - 1)))
-    rows = rows.withColumn("r", F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("s"), "i"))).withColumn("steep", (F.col("r") <= most) & ((F.col("m") > 2) | (F.col("i") == 0)))
-    rows = rows.withColumn("win", F.floor(F.col("i") / window))
+    best = [F.desc_nulls_last("s"), "i"]
+    rows = rows.withColumn("r", F.row_number().over(Window.partitionBy(*key).orderBy(*best))).withColumn("steep", F.when(F.col("m") > 2, (F.col("r") <= most) & F.col("s").isNotNull()).otherwise(F.col("i") == 0))
+    rows = rows.withColumn("win", F.floor(F.col("i") / F.col("w")))
     each = Window.partitionBy(*key, "win")
-    rows = rows.withColumn("has", F.max(F.col("steep").cast("int")).over(each)).withColumn("wr", F.row_number().over(each.orderBy(F.desc("s"), "i")))
-    cover = (F.col("has") == 0) & (F.col("wr") == 1) & (F.col("m") > 2)
+    rows = rows.withColumn("has", F.max(F.col("steep").cast("int")).over(each)).withColumn("wr", F.row_number().over(each.orderBy(*best)))
+    cover = (F.col("has") == 0) & (F.col("wr") == 1) & (F.col("m") > 2) & F.col("s").isNotNull()
     return rows.where(F.col("steep") | cover).select(*key, at, F.when(F.col("steep"), "steep").otherwise("cover").alias("pick"))
 
 

@@ -80,16 +80,3 @@ def scenes(shots: DataFrame, video: str, order: str, look: str, threshold: float
     items = folds.collected(shots.select(video, order, "start_time", "end_time", look), [video], [order], [order, "start_time", "end_time", look])
     rows = folds.capped_groups(items, lambda a, b: rms(a[look], b[look]), threshold, lambda first, x: x["end_time"] - first["start_time"], most_sec)
     return rows.select(video, F.explode(F.arrays_zip("items", "labels")).alias("x")).select(video, F.col(f"x.items.{order}").alias(order), F.col("x.labels").alias("scene_id"))
-
-
-#: Keyframe strategies by name: functions of (frames table, **parameters); more can be added.
-STRATEGIES = {
-    "middle": lambda shots, **_: shots.select("video_id", "shot_index", F.floor((F.col("start_frame") + F.col("end_frame")) / 2).alias("frame_idx")),
-    "uniform": lambda shots, step=24, **_: shots.where("end_frame >= start_frame").select("video_id", "shot_index", F.explode(F.sequence("start_frame", "end_frame", F.lit(step).cast("long"))).alias("frame_idx")),
-}
-
-
-def keyframes(name: str, shots: DataFrame, **parameters: object) -> DataFrame:
-    if name not in STRATEGIES:
-        raise ValueError(f"no strategy {name!r}; there are {sorted(STRATEGIES)}")
-    return STRATEGIES[name](shots, **parameters)

@@ -4,7 +4,8 @@ from types import SimpleNamespace
 import numpy as np
 
 from filmstrip.catalog.pipelines import segmented_shots
-from filmstrip.plans.segmentation import SegmentConfig, keyframes, scenes, segment
+from filmstrip.plans.segmentation import SegmentConfig, scenes, segment
+from filmstrip.plans.strategies import keyframes
 
 SAMPLES = "v string, shot int, i int, fidx long, dx double, dy double, mag double, real boolean, gray array<double>"
 
@@ -79,3 +80,21 @@ def test_each_shot_has_its_own_rate(spark):
     # as when all shots have that rate
     assert got["d"] == cut(dict.fromkeys(rates, 30.0))["d"]
     assert got["a"] == cut(dict.fromkeys(rates, 24.0))["a"]
+
+
+def test_strategies_on_one_shot(spark):
+    """Empty shots give their middle; the action strategy keeps the shot's end for half the threshold."""
+    shots = spark.createDataFrame([("v", 0, 0, 99, 25.0), ("v", 1, 100, 150, None)], "video_id string, shot_index int, start_frame long, end_frame long, fps double")
+    data = [(0, 0.0), (10, 0.1), (20, 0.5), (25, 1.0), (60, 0.9), (99, 0.8), (999, 5.0)]
+    samples = spark.createDataFrame([("v", 0, f, y, [y, 1.0], y) for f, y in data], "video_id string, shot_index int, frame_idx long, y double, vector array<double>, size double")
+    def picked(name, **more):
+        return sorted((r.shot_index, r.frame_idx) for r in keyframes(name, shots, samples, **more).collect())
+    by_y = {"apart": lambda a, b: abs_(a["y"] - b["y"]), "fields": ["y"]}
+    from pyspark.sql.functions import abs as abs_
+    assert picked("action", **by_y) == [(0, 0), (0, 20), (0, 60), (1, 125)]
+    assert picked("action", **by_y, threshold=0.35, min_gap_sec=0.2) == [(0, 0), (0, 20), (0, 25), (0, 99), (1, 125)]
+    assert picked("adaptive", **by_y, step=1) == [(0, 0), (0, 60), (1, 125)]
+    assert picked("clip_reldiff", step=1) == [(0, 0), (0, 20), (0, 25), (1, 125)]
+    assert picked("dake_per_shot", step=1, most=2) == [(0, 25), (0, 60), (1, 125)]
+    with __import__("pytest").raises(ValueError, match="no strategy"):
+        keyframes("best", shots)
