@@ -173,37 +173,37 @@ def shared_stretch(query: list[int], doc: list[int], at: int, least: int, per: i
 
 
 class Bound:
-    """What is known of a query's stretches whatever the document: no more of their tokens may be missing from it than
-    there may be edits. So a part of `least` words or more must exist in which words outweigh missing tokens `per` to
-    one; allows() is False only if there is none."""
-
-    def __init__(self, starts: np.ndarray, least: int, per: int) -> None:
-        self.spans, self.per = np.diff(starts), per
-        reach = np.searchsorted(starts, starts - least, side="right") - 1
-        self.ends = np.flatnonzero(reach >= 0)
-        self.reach = reach[self.ends]
-        self.weight = np.zeros(len(starts), np.int64)
-
-    def allows(self, query: np.ndarray, doc: np.ndarray) -> bool:
-        missing = ~(query[:, None] == doc).any(1)
-        np.cumsum(self.spans - self.per * missing, out=self.weight[1:])
-        return bool((self.weight[self.ends] >= np.minimum.accumulate(self.weight)[self.reach]).any())
-
-
-def _near(hits: list[tuple[int, int]], size: int, per: int) -> list[int]:
-    """Where the query would begin, for each cluster of window hits (doc place, query place) near a diagonal.
-
-    One hit is enough: 20 words or more with one edit in seven always have a run of five, but no more than that is sure.
-    """
-    slack, out = size // per + 1, []
-    diagonals = sorted(d - q for d, q in hits)
-    i = 0
-    for j in range(len(diagonals)):
-        while diagonals[j] - diagonals[i] > slack:
-            i += 1
-        if j + 1 == len(diagonals) or diagonals[j + 1] - diagonals[i] > slack:
-            out.append(diagonals[i])
-    return out
+    """What is known of stretches whatever the document: no more of a query's tokens may be missing from it than there
+    may be edits. So a part of `least` words or more must exist in which words outweigh missing tokens `per` to one.
+    Holds the tokens of all queries of a view in one table, a row a query."""
+
+    def __init__(self, tokens: list[np.ndarray], starts: list[np.ndarray], least: int, per: int) -> None:
+        self.per, width = per, max(map(len, tokens), default=0)
+        self.tokens = np.full((len(tokens), width), -1, np.int64)
+        self.spans = np.zeros((len(tokens), width), np.int64)
+        self.reach = np.full((len(tokens), width + 1), -1, np.int64)  # the last place `least` words before each, or -1
+        for i, (t, at) in enumerate(zip(tokens, starts)):
+            self.tokens[i, : len(t)] = t
+            self.spans[i, : len(t)] = np.diff(at)
+            self.reach[i, : len(at)] = np.searchsorted(at, at - least, side="right") - 1
+        self.size = np.array([len(t) for t in tokens], np.int64)
+
+    def allows(self, query: np.ndarray, line: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """For candidates (numbers of queries, parts low..high of the line) whether a stretch isn't ruled out."""
+        out = np.zeros(len(query), bool)
+        for k in range(0, len(query), 512):
+            part = slice(k, k + 512)
+            q, a, b = query[part], low[part], high[part]
+            seat = a[:, None] + np.arange(int((b - a).max()))
+            doc = np.where(seat < b[:, None], line[np.minimum(seat, len(line) - 1)], -2)
+            width = int(self.size[q].max())
+            missing = ~(self.tokens[q, :width, None] == doc[:, None, :]).any(2)
+            weight = np.zeros((len(q), width + 1), np.int64)
+            np.cumsum(self.spans[q, :width] - self.per * missing, axis=1, out=weight[:, 1:])
+            reach = self.reach[q, : width + 1]
+            least = np.take_along_axis(np.minimum.accumulate(weight, 1), np.maximum(reach, 0), 1)
+            out[part] = ((reach >= 0) & (weight >= least)).any(1)
+        return out
 
 
 def consistent(query: View, doc: View, hits: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -231,68 +231,84 @@ class Matcher:
         self.least, self.per = least, per
         self.names = [q for q, _ in queries]
         vocabulary = Vocabulary()
-        self.queries, self.bounds = [], []
-        places = [defaultdict(list), defaultdict(list)]
-        for i, (_, text) in enumerate(queries):
-            *views, _, _ = vocabulary.views([TIME_MARK.sub(" ", text)])
-            views = [v[0 : len(v.typed) - WINDOW] for v in views]
-            self.queries.append(views)
-            self.bounds.append([Bound(v.starts, least, per) for v in views])
-            says = [window_keys(v.said, seed + 1).tolist() for seed, v in enumerate(views)]
-            for seed, view in enumerate(views):
-                for at, key in enumerate(window_keys(view.typed, seed + 1).tolist()):
-                    places[seed][key].append((i, at, says[seed][at]))
-        self.places = [dict(p) for p in places]
-        self.keys = [np.array(sorted(p), np.uint64) for p in places]
-
-    def hits(self, seed: int, view: View, texts_at: np.ndarray) -> dict[tuple[int, int], list[tuple[int, int, bool]]]:
-        """(text, query): the places, in the text and in the query, of the windows that both have, and whether they say
-        the same there."""
-        keys, known = window_keys(view.typed, seed + 1), self.keys[seed]
-        out = defaultdict(list)
-        if len(keys) and len(known):
-            seats = np.flatnonzero(keys)
-            near = np.minimum(np.searchsorted(known, keys[seats]), len(known) - 1)
-            seats = seats[known[near] == keys[seats]]
-            owner = np.searchsorted(texts_at, seats, side="right") - 1
-            said = window_keys(view.said, seed + 1)[seats]
-            for s, n, key, says in zip((seats - texts_at[owner]).tolist(), owner.tolist(), keys[seats].tolist(), said.tolist()):
-                for q, at, own in self.places[seed][key]:
-                    out[n, q].append((s, at, own == says))
-        return out
+        self.queries: list[list[View]] = [[], []]
+        for _, text in queries:
+            for mine, view in zip(self.queries, vocabulary.views([TIME_MARK.sub(" ", text)])):
+                mine.append(view[0 : len(view.typed) - WINDOW])
+        self.size = np.array([int(v.starts[-1]) for v in self.queries[0]], np.int64)
+        self.slack = self.size // per + 1
+        self.windows = [self._index(seed, views) for seed, views in enumerate(self.queries)]
+        self.said = Bound([v.said for v in self.queries[0]], [v.starts for v in self.queries[0]], least, per)
+        self.typed = [Bound([v.typed for v in views], [v.starts for v in views], least, per) for views in self.queries]
+
+    def _index(self, seed: int, views: list[View]) -> tuple[np.ndarray, ...]:
+        """Sorted keys of all windows, and for each the query, the place in it and the key of what it says."""
+        keys = [window_keys(v.typed, seed + 1) for v in views]
+        flat, none = np.concatenate([*keys, np.zeros(0, np.uint64)]), np.zeros(0, np.int64)
+        query = np.repeat(np.arange(len(views)), [len(k) for k in keys])
+        place = np.concatenate([none, *(np.arange(len(k)) for k in keys)])
+        says = np.concatenate([np.zeros(0, np.uint64), *(window_keys(v.said, seed + 1) for v in views)])
+        order = np.argsort(flat, kind="stable")
+        return flat[order], query[order], place[order], says[order]
+
+    def hits(self, seed: int, view: View, texts_at: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For each window that a text and a query have in common: text, query, the places in both, and whether they
+        say the same there."""
+        known, query, place, own = self.windows[seed]
+        keys = window_keys(view.typed, seed + 1)
+        seats = np.flatnonzero(keys)
+        first, last = (np.searchsorted(known, keys[seats], side=side) for side in ("left", "right"))
+        many = last - first
+        seats, first, many = seats[many > 0], first[many > 0], many[many > 0]
+        at = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many - first, many)
+        seats = np.repeat(seats, many)
+        text = np.searchsorted(texts_at, seats, side="right") - 1
+        says = window_keys(view.said, seed + 1)[seats]
+        return text, query[at], seats - texts_at[text], place[at], says == own[at]
+
+    def candidates(self, text: np.ndarray, query: np.ndarray, d: np.ndarray, q: np.ndarray, bound: Bound, line: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[tuple[int, int, int]]:
+        """(text, query, where the query would begin) of the neighbourhoods of hits in which a stretch isn't ruled out.
+        Diagonals are taken in steps of the slack and one; a stretch strays from a hit of its own by no more than that."""
+        step = self.slack[query] + 1
+        some = np.unique(np.stack([text, query, (d - q) // step * step]), axis=1)
+        text, query, at = some
+        low = begin[text] + np.maximum(at - self.slack[query], 0)
+        high = np.minimum(begin[text] + at + self.size[query] + 2 * self.slack[query], end[text])
+        return list(map(tuple, some[:, bound.allows(query, line, low, high)].T.tolist())) if len(text) else []
 
-    def kind(self, query: int, docs: list[View], hits: list[list[tuple[int, int, bool]]]) -> str | None:
-        """'words' if the doc has a passage of the query in its own words, 'template' if it has one with other, but
-        consistent, fillings of its slots. The first must have a window in common that says the same, as any twenty
-        words with one edit in seven have a run of five; the second one that doesn't."""
+    def found(self, texts: list[str], vocabulary: Vocabulary) -> Iterator[tuple[int, int, str]]:
+        """(number of the text, number of the query, kind) for each text with a passage of a query: kind 'words' if it
+        is in the query's own words, 'template' if slots have other, but consistent, fillings. The first must have two
+        windows in common that say the same, as twenty words or more, with one edit in seven, leave no fewer; the second
+        one that doesn't."""
+        *views, at0, at1 = vocabulary.views([TIME_MARK.sub(" ", t) for t in texts])
+        if not self.names or not texts:
+            return
+        done: set[tuple[int, int]] = set()
+        sides = [(view, begin, np.r_[begin[1:], len(view.typed)], self.hits(seed, view, begin)) for seed, (view, begin) in enumerate(zip(views, (at0, at1)))]
         for kind, number in (("words", 1), ("template", 2)):
-            for view, bound, doc, found in zip(self.queries[query][:number], self.bounds[query], docs, hits):
-                if all(same != (kind == "words") for _, _, same in found):
-                    continue
-                size = int(view.starts[-1])
-                slack = size // self.per + 1
-                for at in _near([(d, q) for d, q, same in found if same or kind == "template"], size, self.per):
-                    low = max(0, at - slack)
-                    near = doc[low : min(len(doc.typed), at + size + 2 * slack)]
-                    own, met = (view.said, near.said) if kind == "words" else (view.typed, near.typed)
-                    if not bound.allows(own, met):
+            for seed, (view, begin, end, hits) in enumerate(sides[:number]):
+                text, query, d, q, same = hits
+                pair = text * len(self.names) + query
+                if kind == "words":
+                    keep = same & (np.bincount(pair[same], minlength=len(texts) * len(self.names))[pair] >= 2)
+                    bound, line = self.said, view.said
+                else:
+                    keep = np.bincount(pair[~same], minlength=len(texts) * len(self.names))[pair] >= 1
+                    bound, line = self.typed[seed], view.typed
+                for n, i, at in self.candidates(*(h[keep] for h in hits[:4]), bound, line.astype(np.int64), begin, end):
+                    if (n, i) in done:
                         continue
+                    mine, slack = self.queries[seed][i], int(self.slack[i])
+                    low = max(0, at - slack)
+                    near = view[int(begin[n]) + low : min(int(end[n]), int(begin[n]) + at + int(self.size[i]) + 2 * slack)]
+                    own, met = mine.said, near.said
                     if kind == "template":
-                        inside = [(d - low, q) for d, q, _ in found if 0 <= d - q - at <= slack and d + WINDOW <= low + len(near.typed)]
-                        own, met = consistent(view, near, inside)
-                    if bound.allows(own, met) and shared_stretch(own.tolist(), met.tolist(), at - low, self.least, self.per, view.starts.tolist()):
-                        return kind
-        return None
-
-    def found(self, texts: list[str], vocabulary: Vocabulary) -> Iterator[tuple[int, int, str]]:
-        """(number of the text, number of the query, kind) for each text with a passage of a query."""
-        plain, named, *at = vocabulary.views([TIME_MARK.sub(" ", t) for t in texts])
-        hits = [self.hits(seed, view, places) for seed, (view, places) in enumerate(zip((plain, named), at))]
-        ends = [np.r_[places[1:], len(view.typed)] for view, places in zip((plain, named), at)]
-        for n, q in sorted(hits[0].keys() | hits[1].keys()):
-            docs = [view[int(places[n]) : int(end[n])] for view, places, end in zip((plain, named), at, ends)]
-            if kind := self.kind(q, docs, [h.get((n, q), []) for h in hits]):
-                yield n, q, kind
+                        inside = (text == n) & (query == i) & (np.abs(d - q - at) <= slack) & (d >= low) & (d + WINDOW <= low + len(near.typed))
+                        own, met = consistent(mine, near, np.stack([d[inside] - low, q[inside]], 1).tolist())
+                    if shared_stretch(own.tolist(), met.tolist(), at - low, self.least, self.per, mine.starts.tolist()):
+                        done.add((n, i))
+                        yield n, i, kind
 
 
 def leaks(docs: DataFrame, queries: DataFrame, doc_id: str, text: str, query_id: str, query: str, least: int = 20, per: int = 7) -> DataFrame:
