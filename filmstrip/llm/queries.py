@@ -43,12 +43,15 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return event_keyframes(spark, sf).select(F.col("left_id").alias("event_id"), F.col("right_id").alias("keyframe_id"))
 
 
+def hosted_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Captions and actions together; a text's host is its video."""
+    captions = table(spark, sf, "captions").select(F.col("caption").alias("text"), F.col("video_id").alias("host"))
+    actions = table(spark, sf, "video_events").select(F.col("action").alias("text"), F.col("video_id").alias("host"))
+    return captions.unionByName(actions)
+
+
 def residue_model(spark: SparkSession, sf: str) -> Linear:
-    """Captions and actions together; a row's host is the collection of its video."""
-    host = F.split_part("video_id", F.lit("_"), F.lit(1)).alias("host")
-    captions = table(spark, sf, "captions").select(F.col("caption").alias("text"), host)
-    actions = table(spark, sf, "video_events").select(F.col("action").alias("text"), host)
-    return train(captions.unionByName(actions), "text", "host")
+    return train(hosted_texts(spark, sf), "text", "host")
 
 
 def described(spark: SparkSession, sf: str) -> DataFrame:
@@ -69,11 +72,8 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_validation(spark: SparkSession, sf: str) -> DataFrame:
-    """How the model does on the weakly labelled parts of collections it has not seen."""
-    host = F.split_part("video_id", F.lit("_"), F.lit(1)).alias("host")
-    captions = table(spark, sf, "captions").select(F.col("caption").alias("text"), host)
-    actions = table(spark, sf, "video_events").select(F.col("action").alias("text"), host)
-    return validate(captions.unionByName(actions), "row_id", "text", "host")
+    """How the model does on parts of videos it has not seen, and on kinds of residue whose phrases it wasn't shown."""
+    return validate(hosted_texts(spark, sf), "text", "host")
 
 
 def p6_subset(spark: SparkSession, sf: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from filmstrip.functions.fold import fold
 from filmstrip.llm.words import folded
+from filmstrip.session import cut
 
 # Phrases and response statuses that make a weak label, on folded text (no case, no accents).
 PLACEHOLDER = [r"\{\{?[^{}]*\}\}?", r"\$\{", r"%\(\w+\)s", r"%s", r"_{3,}", r"__\w+__", r"@@\w+@@", r"<[a-z][^<>]*>", r"&lt;", r"\[[a-z +\-]{2,}\]", r"\bnn\b.*\.\.\."]
@@ -20,7 +21,7 @@ STATUS = [r"\b(?:http )?[45]\d\d\b *[-|:]? *[a-z]", r"traceback|exception|\berro
 SCRIPTS = [r"noscript", r"javascript|\bjs\b", r"\bscripts?\b|ma lenh"]
 #: How descriptions report words that are seen in the picture.
 REPORTED = [r"bien hieu", r"thong bao", r"in chu", r"co chu", r"in nhan", r"\bviet\b.* len bang", r"treo bang", r"\bhien (?!thi)", r"chay ngang man hinh", r"\breads?\b", r"\ba sign\b", r"\bshirt with\b", r"\bnotice\b", r"\bon the board\b", r"\blabel\b", r"\bprinted\b", r"\bscreen\b"]
-WEAK = "|".join([*PLACEHOLDER, *FILLER, *STATUS, *SCRIPTS])
+FAMILIES = {"placeholder": PLACEHOLDER, "filler": FILLER, "status": STATUS, "scripts": SCRIPTS}
 BITS, SIZES, DENSE, SCALE = 18, (3, 4, 5), 6, 0.1
 _PARTS = re.compile(r"(?<=[.!?…])\s+|\n+")
 _SEEN = re.compile(r"(?ims)^\s*TEXT:.*\Z")
@@ -35,11 +36,19 @@ def parts_column(text: Column) -> Column:
     return F.filter(F.transform(F.split(F.regexp_replace(text, _SEEN.pattern.replace(r"\Z", r"\z"), ""), _PARTS.pattern), lambda p: F.trim(p)), lambda p: p != "")
 
 
-def weak_label(part: Column) -> Column:
+def plain(part: Column) -> Column:
+    return F.translate(fold(part), "｛｝［］＜＞＄％＿＠", "{}[]<>$%_@")
+
+
+def matches(part: Column, families: list[str]) -> Column:
+    """Whether a phrase or status of one of the families is in the part."""
+    return plain(part).rlike("|".join(p for f in families for p in FAMILIES[f]))
+
+
+def weak_label(part: Column, families: list[str] = list(FAMILIES)) -> Column:
     """1 for a phrase or status of residue, 0 for none, 2 where a description reports such words as seen (none too);
     null for long texts of the last kind, which may have both."""
-    plain = F.translate(fold(part), "｛｝［］＜＞＄％＿＠", "{}[]<>$%_@")
-    return F.when(~plain.rlike(WEAK), 0).when(plain.rlike("|".join(REPORTED)), F.when(F.length(plain) < 120, 2)).otherwise(1)
+    return F.when(~matches(part, families), 0).when(plain(part).rlike("|".join(REPORTED)), F.when(F.length(part) < 120, 2)).otherwise(1)
 
 
 def hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,40 +112,44 @@ class Linear:
         return self._p(flat, whose, dense, len(texts))
 
 
-def labelled_parts(df: DataFrame, text: str, host: str) -> DataFrame:
-    """part, label (as weak_label gives it), seen and n of the distinct parts of all texts that have a weak label; parts
-    that differ in digits alone are one, n is how often it occurs, and seen whether a host of the training set has it.
-    Each part is labelled once, before the shuffle."""
-    each = df.select(F.col(host).alias("host"), F.explode(parts_column(F.col(text))).alias("part"))
-    each = each.select("host", "part", weak_label(F.col("part")).alias("label"), F.regexp_replace("part", r"\d", "0").alias("shape"))
-    rows = each.groupBy("shape").agg(F.min("part").alias("part"), F.bool_or(~F.coalesce(unseen(F.col("host")), F.lit(False))).alias("seen"), F.min("label").alias("label"), F.count(F.lit(1)).alias("n"))
-    return rows.drop("shape").dropna(subset=["label"])
+def unseen(host: Column, share: int = 5) -> Column:
+    """Whether a host belongs to the fifth that training doesn't see. Hosts are told apart without case and spaces."""
+    return F.pmod(F.xxhash64(F.lower(F.trim(host))), F.lit(share)) == 0
 
 
-def sample(parts_df: DataFrame, most: int) -> list[tuple[str, int, int]]:
-    """At most `most` parts of each label, those with the least hash, on the driver. One job: the labels' branches share
-    the shuffled parts."""
-    branches = [parts_df.where(F.col("label") == label).orderBy(F.xxhash64("part"), "part").limit(most).select("part", "label", "n") for label in (0, 1, 2)]
-    rows = branches[0].unionByName(branches[1]).unionByName(branches[2]).withColumn("h", F.xxhash64(F.lit("mix"), "part")).collect()
-    return [(r.part, r.label, r.n) for r in sorted(rows, key=lambda r: (r.h, r.part))]
+def distinct_parts(df: DataFrame, text: str, host: str, families: list[str] | None = None) -> DataFrame:
+    """part, n, seen and kept of the distinct parts of all texts; parts that differ in digits alone are one. n is how
+    often a part occurs, seen whether a host of the training set has it, kept whether an unseen host does; with families
+    also label, as weak_label gives it, worked out once for each part and before the shuffle."""
+    each = df.select(F.coalesce(unseen(F.col(host)), F.lit(False)).alias("away"), F.explode(parts_column(F.col(text))).alias("part"))
+    label = [weak_label(F.col("part"), families).alias("label")] if families else []
+    each = each.select("away", "part", F.regexp_replace("part", r"\d", "0").alias("shape"), *label)
+    rows = each.groupBy("shape").agg(F.min("part").alias("part"), F.count(F.lit(1)).alias("n"), F.bool_or(~F.col("away")).alias("seen"), F.bool_or("away").alias("kept"), *([F.min("label").alias("label")] if families else []))
+    return rows.drop("shape")
 
 
-def unseen(host: Column, share: int = 5) -> Column:
-    """Whether a host belongs to the fifth that training doesn't see."""
-    return F.pmod(F.xxhash64(host), F.lit(share)) == 0
+def sample(labelled: DataFrame, most: int) -> list[tuple[str, int, int]]:
+    """part, label, n of at most `most` parts of each label, those with the least hash, on the driver. One job: the
+    labels' branches share the shuffled parts."""
+    branches = [labelled.where(F.col("label") == label).orderBy(F.xxhash64("part"), "part").limit(most).select("part", "label", "n") for label in (0, 1, 2)]
+    got = branches[0].unionByName(branches[1]).unionByName(branches[2]).withColumn("h", F.xxhash64(F.lit("mix"), "part")).collect()
+    return [(r.part, r.label, r.n) for r in sorted(got, key=lambda r: (r.h, r.part))]
 
 
-def train(df: DataFrame, text: str, host: str, most: int = 12_000) -> Linear:
-    """A model of the weak labels, fitted on the driver to at most `most` distinct parts of each label from four fifths
-    of the hosts. Residue is also shown before and after a description, as it may be a part of a text. Without residue
-    there is nothing to learn, and the model finds nothing."""
-    rows = sample(labelled_parts(df, text, host).where("seen"), most)
-    plain, odd = [t for t, y, _ in rows if y == 0], [(t, n) for t, y, n in rows if y == 1]
-    pairs = list(zip(odd, plain * (len(odd) // max(len(plain), 1) + 1)))
+def fitted(rows: list[tuple[str, int, int]]) -> Linear:
+    """A model of labelled parts. Residue is also shown before and after a description, as it may be a part of a text."""
+    normal, odd = [t for t, y, _ in rows if y == 0], [(t, n) for t, y, n in rows if y == 1]
+    pairs = list(zip(odd, normal * (len(odd) // max(len(normal), 1) + 1)))
     mixed = [(text, 1, n) for (o, n), p in pairs for text in (f"{o} {p}", f"{p} {o}")]
     return Linear(*map(list, zip(*rows, *mixed)))
 
 
+def train(df: DataFrame, text: str, host: str, most: int = 12_000) -> Linear:
+    """A model of the weak labels, fitted on the driver to at most `most` distinct parts of each label from four fifths
+    of the hosts. Without residue there is nothing to learn, and the model finds nothing."""
+    return fitted(sample(distinct_parts(df, text, host, list(FAMILIES)).where("seen"), most))
+
+
 def residue(df: DataFrame, row_id: str, text: str, model: Linear, keep: list[str] | None = None) -> DataFrame:
     """row_id (and columns `keep`) with score, the highest probability of a part of the text to be residue, and is_residue.
 
@@ -165,10 +178,22 @@ def residue(df: DataFrame, row_id: str, text: str, model: Linear, keep: list[str
     return rows.mapInArrow(run, f"{schema}, score double, is_residue boolean")
 
 
-def validate(df: DataFrame, row_id: str, text: str, host: str, most: int = 12_000) -> DataFrame:
-    """Per label: parts, found (scored above a half) and share, over all weakly labelled parts that only unseen hosts
-    have."""
-    model = train(df, text, host, most)
-    held = labelled_parts(df, text, host).where("not seen")
-    scored = residue(held, "part", "part", model, keep=["label"])
-    return scored.groupBy(F.when(F.col("label") == 0, "plain").when(F.col("label") == 1, "residue").otherwise("reported").alias("label")).agg(F.count(F.lit(1)).alias("parts"), F.sum(F.col("is_residue").cast("long")).alias("found"), F.avg(F.col("is_residue").cast("double")).alias("share"))
+def validate(df: DataFrame, text: str, host: str, most: int = 12_000) -> DataFrame:
+    """test, label, parts, found (scored above a half) and share, over weakly labelled parts that only unseen hosts have
+    and, for each family of phrases, over parts of unseen hosts that only its phrases mark, found by a model trained
+    without these phrases and without the parts they mark: texts that no list was written from, as far as the model knows,
+    and of which the other lists find none."""
+    everything = cut(distinct_parts(df, text, host, list(FAMILIES)))
+    held = everything.where("kept").dropna(subset=["label"])
+    named = F.when(F.col("label") == 0, "plain").when(F.col("label") == 1, "residue").otherwise("reported")
+    counts = [F.count(F.lit(1)).alias("parts"), F.sum(F.col("is_residue").cast("long")).alias("found"), F.avg(F.col("is_residue").cast("double")).alias("share")]
+    model = fitted(sample(everything.where("seen"), most))
+    out = residue(held.where("not seen"), "part", "part", model, keep=["label"]).groupBy(F.lit("unseen hosts").alias("test"), named.alias("label")).agg(*counts)
+    for family in FAMILIES:
+        rest = [f for f in FAMILIES if f != family]
+        alone = matches(F.col("part"), [family]) & ~matches(F.col("part"), rest)
+        others = everything.where("seen").where(~matches(F.col("part"), [family])).withColumn("label", weak_label(F.col("part"), rest))
+        without = fitted(sample(cut(others), most))
+        left = residue(held.where((F.col("label") == 1) & alone), "part", "part", without)
+        out = out.unionByName(left.groupBy(F.lit(f"without {family}").alias("test"), F.lit("residue").alias("label")).agg(*counts))
+    return out

@@ -39,8 +39,14 @@ def test_other_texts(spark, model):
 def test_unseen_hosts(spark):
     df = spark.createDataFrame(corpus(3), "id long, text string, host string, label int")
     df = df.withColumn("text", F.when(F.col("host") == held(spark), F.concat("text", F.lit(" nhé bạn"))).otherwise(F.col("text")))
-    rows = {r.label: r for r in validate(df, "row_id", "text", "host").collect()}
-    assert rows["residue"].share > 0.8 and rows["plain"].share < 0.05
+    rows = {(r.test, r.label): r for r in validate(df, "text", "host").collect()}
+    assert rows["unseen hosts", "residue"].share > 0.8 and rows["unseen hosts", "plain"].share < 0.05
+    assert {"without status", "without scripts"} < {t for t, _ in rows}
+
+
+def test_hosts_are_told_apart_without_case_and_spaces(spark):
+    df = spark.createDataFrame([(h, h.strip().lower()) for h in ("N1_V1", " n1_v1", "T2_V9 ", "t2_V9")], "a string, b string")
+    assert all(r[0] == r[1] for r in df.select(unseen(F.col("a")), unseen(F.col("b"))).collect())
 
 
 def held(spark):
