@@ -44,14 +44,25 @@ def changed_events(t: Tables) -> DataFrame:
     return folds.changed_from_last(scenes(t), _apart, 0.3, lambda a, b: b["f"] - a["f"], 25, 8).select(*_KEY, _ids().alias("kept"))
 
 
-@query("""WITH s AS (SELECT label, vec_id, embedding::DOUBLE[] AS v, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS rn FROM embeddings), r AS (SELECT label, rn, v, [vec_id] AS ids FROM s WHERE rn = 1 UNION ALL
-    SELECT label, rn, CASE WHEN ok THEN v ELSE lv END, CASE WHEN ok THEN list_append(ids, vec_id) ELSE ids END FROM (SELECT r.v AS lv, r.ids, s.*, list_distance(r.v, s.v) / greatest(sqrt(list_dot_product(r.v, r.v)), 1e-8) > 1.2::DOUBLE AS ok FROM r JOIN s ON s.label = r.label AND s.rn = r.rn + 1) s)
-    SELECT label, array_to_string(ids, ',') AS kept FROM r QUALIFY row_number() OVER (PARTITION BY label ORDER BY rn DESC) = 1""", recursive=True)
+_V = "s AS (SELECT label, vec_id // 64 AS part, vec_id, embedding::DOUBLE[] AS v, row_number() OVER (PARTITION BY label, vec_id // 64 ORDER BY vec_id) AS rn FROM embeddings)"
+_VSTEP = "JOIN s ON s.label = r.label AND s.part = r.part AND s.rn = r.rn + 1"
+_VLAST = "QUALIFY row_number() OVER (PARTITION BY label, part ORDER BY rn DESC) = 1"
+SEQUENCE = ["label", "part"]
+
+
+def sequences(t: Tables) -> DataFrame:
+    """The vectors of each label in sequences of 64 ids, as arrays: bounded, however many vectors a label has."""
+    e = t.raw("embeddings").select("label", F.floor(F.col("vec_id") / 64).alias("part"), F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
+    return folds.collected(e, SEQUENCE, ["id"], ["id", "v"])
+
+
+@query(f"""WITH {_V}, r AS (SELECT label, part, rn, v, [vec_id] AS ids FROM s WHERE rn = 1 UNION ALL
+    SELECT label, part, rn, CASE WHEN ok THEN v ELSE lv END, CASE WHEN ok THEN list_append(ids, vec_id) ELSE ids END FROM (SELECT r.v AS lv, r.ids, s.*, list_distance(r.v, s.v) / greatest(sqrt(list_dot_product(r.v, r.v)), 1e-8) > 1.2::DOUBLE AS ok FROM r {_VSTEP}) s)
+    SELECT label, part, array_to_string(ids, ',') AS kept FROM r {_VLAST}""", recursive=True)
 def relative_changes(t: Tables) -> DataFrame:
     """Vectors far from the last one kept, by its length."""
-    e = t.raw("embeddings").select("label", F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
-    rows = folds.changed_from_last(folds.collected(e, ["label"], ["id"], ["id", "v"]), lambda a, b: relative_change(a["v"], b["v"]), 1.2)
-    return rows.select("label", _ids().alias("kept"))
+    rows = folds.changed_from_last(sequences(t), lambda a, b: relative_change(a["v"], b["v"]), 1.2)
+    return rows.select(*SEQUENCE, _ids().alias("kept"))
 
 
 @query(f"""WITH {_S}, r AS (SELECT video_id, scene_id, rn, f AS ff, y AS ly, [0] AS ls FROM s WHERE rn = 1 UNION ALL SELECT video_id, scene_id, rn, CASE WHEN ok THEN ff ELSE f END, y, list_append(ls, ls[-1] + CASE WHEN ok THEN 0 ELSE 1 END)
@@ -62,14 +73,13 @@ def capped_scenes(t: Tables) -> DataFrame:
     return rows.select(*_KEY, F.array_join(F.col("labels").cast("array<string>"), ",").alias("labels"))
 
 
-@query("""WITH s AS (SELECT label, vec_id, embedding::DOUBLE[] AS v, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS rn FROM embeddings), r AS (SELECT label, rn, v, [0] AS ls FROM s WHERE rn = 1 UNION ALL
-    SELECT label, rn, CASE WHEN ok THEN v ELSE lv END, list_append(ls, ls[-1] + CASE WHEN ok THEN 1 ELSE 0 END) FROM (SELECT r.v AS lv, r.ls, s.*, 1 - list_dot_product(r.v, s.v) > 0.7::DOUBLE AS ok FROM r JOIN s ON s.label = r.label AND s.rn = r.rn + 1) s)
-    SELECT label, array_to_string(ls, ',') AS labels FROM r QUALIFY row_number() OVER (PARTITION BY label ORDER BY rn DESC) = 1""", recursive=True)
+@query(f"""WITH {_V}, r AS (SELECT label, part, rn, v, [0] AS ls FROM s WHERE rn = 1 UNION ALL
+    SELECT label, part, rn, CASE WHEN ok THEN v ELSE lv END, list_append(ls, ls[-1] + CASE WHEN ok THEN 1 ELSE 0 END) FROM (SELECT r.v AS lv, r.ls, s.*, 1 - list_dot_product(r.v, s.v) > 0.7::DOUBLE AS ok FROM r {_VSTEP}) s)
+    SELECT label, part, array_to_string(ls, ',') AS labels FROM r {_VLAST}""", recursive=True)
 def running_clusters(t: Tables) -> DataFrame:
     """Clusters of neighbours like the cluster's first row."""
-    e = t.raw("embeddings").select("label", "vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    rows = folds.clusters(folds.collected(e, ["label"], ["vec_id"], ["vec_id", "v"]), lambda a, b: 1 - dot(a["v"], b["v"]), 0.7)
-    return rows.select("label", F.array_join(F.col("labels").cast("array<string>"), ",").alias("labels"))
+    rows = folds.clusters(sequences(t), lambda a, b: 1 - dot(a["v"], b["v"]), 0.7)
+    return rows.select(*SEQUENCE, F.array_join(F.col("labels").cast("array<string>"), ",").alias("labels"))
 
 
 @query(f"""WITH {_S.replace('ORDER BY anchor_frame, id', 'ORDER BY -boundary_score, anchor_frame, id')}, r AS (SELECT video_id, scene_id, rn, [f] AS fs FROM s WHERE rn = 1 UNION ALL SELECT video_id, scene_id, rn, CASE WHEN ok THEN list_append(fs, f) ELSE fs END

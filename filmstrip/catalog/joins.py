@@ -119,18 +119,18 @@ def answer_ranges(t: Tables) -> DataFrame:
     return rows.select("keyframe_id", "b", "a", *[F.col("r")[name][i].alias(out) for name, i, out in (("tol5", 0, "lo5"), ("tol5", 1, "hi5"), ("tol90", 0, "lo90"), ("tol90", 1, "hi90"), ("kf_span", 0, "span_lo"), ("kf_span", 1, "span_hi"))])
 
 
-@query("""WITH s AS (SELECT label, vec_id, embedding::DOUBLE[] AS v, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS rn FROM embeddings), r AS (SELECT label, rn, vec_id, v, 0 AS n FROM s WHERE rn = 1 UNION ALL
-    SELECT s.label, s.rn, s.vec_id, CASE WHEN 1 - list_dot_product(r.v, s.v) > 0.8 THEN s.v ELSE r.v END, CASE WHEN 1 - list_dot_product(r.v, s.v) > 0.8 THEN r.n + 1 ELSE r.n END FROM r JOIN s ON s.label = r.label AND s.rn = r.rn + 1)
-    SELECT vec_id, label, n AS cluster, 'text ' || min(vec_id) OVER (PARTITION BY label, n) AS caption FROM r""", recursive=True)
+@query("""WITH s AS (SELECT label, vec_id // 64 AS part, vec_id, embedding::DOUBLE[] AS v, row_number() OVER (PARTITION BY label, vec_id // 64 ORDER BY vec_id) AS rn FROM embeddings), r AS (SELECT label, part, rn, vec_id, v, 0 AS n FROM s WHERE rn = 1 UNION ALL
+    SELECT s.label, s.part, s.rn, s.vec_id, CASE WHEN 1 - list_dot_product(r.v, s.v) > 0.8 THEN s.v ELSE r.v END, CASE WHEN 1 - list_dot_product(r.v, s.v) > 0.8 THEN r.n + 1 ELSE r.n END FROM r JOIN s ON s.label = r.label AND s.part = r.part AND s.rn = r.rn + 1)
+    SELECT vec_id, label, part, n AS cluster, 'text ' || min(vec_id) OVER (PARTITION BY label, part, n) AS caption FROM r""", recursive=True)
 def captions_by_cluster(t: Tables) -> DataFrame:
     """One representative's caption for each cluster of neighbours alike, given to all of its members."""
-    e = t.raw("embeddings").select("label", "vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    from filmstrip.catalog.folds import SEQUENCE, sequences
     from filmstrip.functions.vectors import dot
 
-    rows = clusters(collected(e, ["label"], ["vec_id"], ["vec_id", "v"]), lambda a, b: 1 - dot(a["v"], b["v"]), 0.8)
-    flat = rows.select("label", F.explode(F.arrays_zip("items", "labels")).alias("x")).select("label", F.col("x.items.vec_id").alias("vec_id"), F.col("x.labels").alias("cluster"))
-    first = F.min("vec_id").over(Window.partitionBy("label", "cluster"))
-    return flat.select("vec_id", "label", "cluster", F.concat(F.lit("text "), first).alias("caption"))
+    rows = clusters(sequences(t), lambda a, b: 1 - dot(a["v"], b["v"]), 0.8)
+    flat = rows.select(*SEQUENCE, F.explode(F.arrays_zip("items", "labels")).alias("x")).select(*SEQUENCE, F.col("x.items.id").alias("vec_id"), F.col("x.labels").alias("cluster"))
+    first = F.min("vec_id").over(Window.partitionBy(*SEQUENCE, "cluster"))
+    return flat.select("vec_id", *SEQUENCE, "cluster", F.concat(F.lit("text "), first).alias("caption"))
 
 
 @query("""SELECT video_id, list_count AS n FROM (SELECT video_id, count(*) AS list_count FROM (SELECT video_id, frame_idx AS f FROM kf WHERE frame_idx IS NOT NULL UNION SELECT video_id, anchor_frame FROM ev WHERE anchor_frame IS NOT NULL) GROUP BY 1)""")

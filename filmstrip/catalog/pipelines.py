@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from filmstrip.catalog.base import Tables, query
 from filmstrip.functions import frames, labels, pixels
 from filmstrip.operators import folds
-from filmstrip.operators.joins import nearest_in_pool
+from filmstrip.operators.joins import nearest_in_pool, value_at
+from filmstrip.plans.detection import shots
 from filmstrip.plans.localise import localise
 from filmstrip.plans.segmentation import segment
 
@@ -23,6 +24,14 @@ def event_rep_keyframe(t: Tables) -> DataFrame:
     return e.select("id", "video_id").join(rep, "id").join(k, ["video_id", "rep_frame"]).select("id", "rep_keyframe_id")
 
 
+@query("""SELECT e.id, list_sum(v) AS total, len(v) AS size FROM (SELECT e.id, (SELECT arg_min([frame_idx::DOUBLE, fps], abs(frame_idx - e.anchor_frame) * 100000000 + frame_idx) FROM kf WHERE kf.video_id = e.video_id AND frame_idx IS NOT NULL) AS v FROM ev e WHERE anchor_frame IS NOT NULL AND video_id IS NOT NULL) e WHERE v IS NOT NULL""")
+def event_vectors(t: Tables) -> DataFrame:
+    """The vector of the frame at each event's anchor or, if that frame has none, of the nearest one that does."""
+    pool = t.kf.select("video_id", "frame_idx", F.array(F.col("frame_idx").cast("double"), "fps").alias("v"))
+    got = value_at(t.ev, pool, "video_id", "anchor_frame", "id", "frame_idx", "v")
+    return got.select("id", F.aggregate("v", F.lit(0.0), lambda a, x: a + x).alias("total"), F.size("v").alias("size"))
+
+
 @query("""SELECT video_id, w AS window_start, least(w + 74, n_frames - 1) AS keep_end, greatest(w - 25, 0) AS read_start, least(w + 74 + 25, n_frames - 1) AS read_end FROM (SELECT DISTINCT video_id, n_frames, unnest(range(0, n_frames, 50)) AS w FROM vi)""")
 def model_windows(t: Tables) -> DataFrame:
     """Overlapping windows of frames for a shot model, whose middle part is kept."""
@@ -65,6 +74,30 @@ def ground_truth(t: Tables) -> DataFrame:
     return placed.select(numbered("kis_", F.col("i")).alias("query_id"), F.col("video_id").alias("gt_video"), F.col("frame_idx").alias("gt_frame"), F.greatest(F.col("frame_idx") - 30, F.lit(0)).alias("first"), F.least(F.col("frame_idx") + 30, F.col("n_frames") - 1).alias("last"))
 
 
+_CUTS = """s AS (SELECT video_id, anchor_frame AS f, max(mag_mean) * 20 AS y FROM ev WHERE video_id IS NOT NULL AND anchor_frame IS NOT NULL AND mag_mean IS NOT NULL GROUP BY 1, 2), b AS (SELECT video_id, min(n_frames) AS n FROM vi WHERE n_frames > 0 GROUP BY 1)"""
+
+
+@query(f"""WITH {_CUTS}, c AS (SELECT video_id, f, row_number() OVER (PARTITION BY video_id ORDER BY f) AS rn FROM (SELECT video_id, f, abs(y - lag(y) OVER (PARTITION BY video_id ORDER BY f)) AS d FROM s) WHERE d >= 27),
+    r AS (SELECT video_id, 0::BIGINT AS rn, 0::BIGINT AS last, []::BIGINT[] AS cuts FROM b UNION ALL SELECT r.video_id, r.rn + 1, CASE WHEN c.f - r.last >= 15 THEN c.f ELSE r.last END, CASE WHEN c.f - r.last >= 15 THEN list_append(cuts, c.f) ELSE cuts END FROM r JOIN c ON c.video_id = r.video_id AND c.rn = r.rn + 1),
+    k AS (SELECT video_id, n, list_prepend(0, list_filter(cuts, lambda x: x < n)) AS l FROM r JOIN b USING (video_id) QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY rn DESC) = 1)
+    SELECT video_id, i AS shot_index, l[i + 1] AS start_frame, coalesce(l[i + 2] - 1, n - 1) AS end_frame FROM (SELECT *, unnest(range(len(l))) AS i FROM k)""", recursive=True)
+def detected_shots(t: Tables) -> DataFrame:
+    """Shots of each video, cut where neighbouring samples differ much; a video without a cut is one shot."""
+    e = t.ev.dropna(subset=["video_id", "anchor_frame", "mag_mean"]).groupBy("video_id", F.col("anchor_frame").alias("frame_idx")).agg((F.max("mag_mean") * 20).alias("y"))
+    videos = t.vi.where("n_frames > 0 and video_id is not null").groupBy("video_id").agg(F.min("n_frames").alias("n_frames"))
+    return shots("content", videos, e.withColumn("look", F.array("y")))
+
+
+@query(f"""WITH {_CUTS}, p AS (SELECT video_id, f, y > 15 AS on_, coalesce(lag(y > 15) OVER (PARTITION BY video_id ORDER BY f), false) AS was FROM s JOIN b USING (video_id) WHERE f < n), k AS (SELECT video_id, n, list_prepend(0, coalesce(list_sort(list(f) FILTER (was AND NOT on_)), [])) AS starts FROM b LEFT JOIN p USING (video_id) GROUP BY 1, 2),
+    e AS (SELECT video_id, coalesce(list_sort(list(f - 1) FILTER (on_ AND NOT was AND f > 0)), []) AS ends, arg_max(on_, f) AS last FROM p GROUP BY 1), x AS (SELECT video_id, n, starts, CASE WHEN coalesce(last, false) THEN ends ELSE list_append(coalesce(ends, []), n - 1) END AS ends FROM k LEFT JOIN e USING (video_id)), z AS (SELECT video_id, unnest(starts) AS a, n FROM x), w AS (SELECT video_id, unnest(ends) AS z FROM x),
+    m AS (SELECT z.video_id, a, min(w.z) AS t FROM z JOIN w ON w.video_id = z.video_id AND w.z >= z.a GROUP BY 1, 2), u AS (SELECT video_id, a, t FROM m UNION ALL SELECT video_id, 0, n - 1 FROM b WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.video_id = b.video_id)) SELECT video_id, row_number() OVER (PARTITION BY video_id ORDER BY a) - 1 AS shot_index, a AS start_frame, t AS end_frame FROM u""")
+def predicted_shots(t: Tables) -> DataFrame:
+    """Shots of each video, parted by the samples to which a model gives a transition."""
+    e = t.ev.dropna(subset=["video_id", "anchor_frame", "mag_mean"]).groupBy("video_id", F.col("anchor_frame").alias("frame_idx")).agg((F.max("mag_mean") * 20).alias("y"))
+    videos = t.vi.where("n_frames > 0 and video_id is not null").groupBy("video_id").agg(F.min("n_frames").alias("n_frames"))
+    return shots("transitions", videos, e.withColumn("probability", F.col("y") / 30))
+
+
 @query()
 def localised_phases(t: Tables) -> DataFrame:
     """Three phases of each label, found again among its rows in order. Tested on a known answer."""

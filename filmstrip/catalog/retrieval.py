@@ -31,6 +31,24 @@ def bm25_topk(t: Tables) -> DataFrame:
     return hits.select("query_id", "doc_id", F.round("score", 4).alias("score"), "rank")
 
 
+_TERMS = "list_filter(string_split_regex(lower({0}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')"
+
+
+@query(f"""WITH q AS (SELECT query_id, unnest(list_distinct({_TERMS.format('query')})) AS term FROM kis_queries), p AS (SELECT caption_id, model, string_split(caption, chr(10) || 'TEXT:') AS p FROM ca WHERE caption IS NOT NULL),
+    d AS (SELECT 'said' AS field, caption_id, model, {_TERMS.format('p[1]')} AS t FROM p UNION ALL SELECT 'seen', caption_id, model, {_TERMS.format('p[2]')} FROM p WHERE len(p) > 1), d1 AS (SELECT * FROM d WHERE len(t) > 0), st AS (SELECT field, count(*) AS n, avg(len(t)) AS al FROM d1 GROUP BY 1),
+    tf AS (SELECT field, caption_id, model, l, term, count(*) AS tf FROM (SELECT field, caption_id, model, len(t) AS l, unnest(t) AS term FROM d1) WHERE term IN (SELECT term FROM q) GROUP BY ALL), df AS (SELECT field, term, count(*) AS df FROM tf GROUP BY 1, 2),
+    sc AS (SELECT query_id, field, caption_id, sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (1 - 0.75::DOUBLE + 0.75::DOUBLE * l / al))) AS s FROM tf JOIN df USING (field, term) JOIN q USING (term) JOIN st USING (field) WHERE model = (SELECT min(model) FROM ca) GROUP BY 1, 2, 3),
+    b AS (SELECT query_id, caption_id, max(s) AS s FROM sc GROUP BY 1, 2) SELECT query_id, caption_id, round(s, 4) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 9) DESC, caption_id) AS rank FROM b) WHERE rank <= 10""")
+def caption_search(t: Tables) -> DataFrame:
+    """The ten best captions of one captioner for each query, by what is said or by the words seen on screen, whichever
+    fits better."""
+    parts = F.split("caption", "\nTEXT:")
+    first = t.ca.agg(F.min("model")).first()[0]
+    docs = t.ca.where("caption is not null").select("caption_id", "model", F.get(parts, F.lit(0)).alias("said"), F.get(parts, F.lit(1)).alias("seen"))
+    hits = search.bm25(docs, t.raw("kis_queries"), "caption_id", ["said", "seen"], "query_id", "query", 10, keep=F.col("model") == first)
+    return hits.select("query_id", F.col("doc_id").alias("caption_id"), F.round("score", 4).alias("score"), "rank")
+
+
 def _channels(t: Tables) -> DataFrame:
     """Similarities of each label's rows to two of its rows."""
     e = t.raw("embeddings").select("label", "vec_id", doubles(F.col("embedding")).alias("v"))

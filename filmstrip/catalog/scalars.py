@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from filmstrip.catalog.base import Tables, query
 from filmstrip.functions import frames, ids, labels, vectors
-from filmstrip.plans.ordered import chunked, positions
+from filmstrip.plans.ordered import chunked, positions, scan
 
 
 @query("""SELECT id, video_id, round(start_frame / fps, 6) AS start_time, round((end_frame + 1) / fps, 6) AS end_time,
@@ -19,11 +19,11 @@ def event_records(t: Tables) -> DataFrame:
 
 
 @query("""SELECT video_id, frame_idx, n, printf('%s_kf%06d', video_id, n - 1) AS made_id, printf('kis_%03d', n) AS query_id FROM
-    (SELECT video_id, frame_idx, row_number() OVER (PARTITION BY video_id ORDER BY frame_idx, keyframe_id) AS n FROM kf WHERE frame_idx IS NOT NULL)""")
+    (SELECT video_id, frame_idx, row_number() OVER (PARTITION BY video_id ORDER BY frame_idx, keyframe_id) AS n FROM kf WHERE frame_idx IS NOT NULL AND video_id IS NOT NULL)""")
 def keyframe_ids(t: Tables) -> DataFrame:
     """Numbers and ids of the keyframes of each video."""
-    n = F.row_number().over(Window.partitionBy("video_id").orderBy("frame_idx", "keyframe_id"))
-    rows = t.kf.where("frame_idx is not null").select("video_id", "frame_idx", n.alias("n"))
+    order = ["frame_idx", "keyframe_id"]
+    rows = scan(chunked(t.kf.where("frame_idx is not null and video_id is not null"), ["video_id"], order), ["video_id"], order, sums={"n": F.lit(1)})
     return rows.select("video_id", "frame_idx", "n", ids.keyframe_id(F.col("video_id"), F.col("n")).alias("made_id"), ids.numbered("kis_", F.col("n")).alias("query_id"))
 
 

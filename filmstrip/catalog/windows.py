@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from filmstrip.catalog.base import Tables, query
 from filmstrip.functions.vectors import dot
 from filmstrip.operators import windows as W
+from filmstrip.plans.ordered import chunked, scan
 
 #: Samples of a shot for curves: its events in order, with known motion.
 _S = "s AS (SELECT id, video_id, shot_index, mag_mean AS y, boundary_score AS b, anchor_frame AS f, row_number() OVER (PARTITION BY video_id, shot_index ORDER BY ord_in_shot, id) AS i FROM ev WHERE video_id IS NOT NULL AND shot_index IS NOT NULL AND mag_mean IS NOT NULL AND anchor_frame IS NOT NULL)"
@@ -106,16 +107,20 @@ def visits(t: Tables) -> DataFrame:
 @query("""SELECT vec_id, label, round(list_dot_product(v, p), 6) AS similarity FROM (SELECT vec_id, label, v, lag(v) OVER (PARTITION BY label ORDER BY vec_id) AS p FROM (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings)) WHERE p IS NOT NULL""")
 def adjacent_similarity(t: Tables) -> DataFrame:
     """How like each row is to the one before it in its group."""
+    return _neighbouring(t).select("vec_id", "label", F.round("s", 6).alias("similarity"))
+
+
+def _neighbouring(t: Tables) -> DataFrame:
+    """vec_id, label, s: how like each row is to the one before it in its label, whose rows may lie in many chunks."""
     e = t.raw("embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
-    rows = e.withColumn("p", F.lag("v").over(Window.partitionBy("label").orderBy("vec_id"))).where("p is not null")
-    return rows.select("vec_id", "label", F.round(dot(F.col("v"), F.col("p")), 6).alias("similarity"))
+    rows = scan(chunked(e, ["label"], ["vec_id"]), ["label"], ["vec_id"], prior={"p": F.col("v")}).where("p is not null")
+    return rows.select("vec_id", "label", dot(F.col("v"), F.col("p")).alias("s"))
 
 
 @query("""SELECT label, median, p90, alike, n FROM (SELECT label, round(quantile_cont(s, 0.5), 6) AS median, round(quantile_cont(s, 0.9), 6) AS p90, count(*) FILTER (s >= 0.5) AS alike, count(*) AS n FROM (SELECT label, list_dot_product(v, lag(v) OVER (PARTITION BY label ORDER BY vec_id)) AS s FROM (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings)) WHERE s IS NOT NULL GROUP BY 1)""")
 def distinctness_report(t: Tables) -> DataFrame:
     """How distinct neighbouring rows of a group are."""
-    e = t.raw("embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
-    s = e.withColumn("s", dot(F.col("v"), F.lag("v").over(Window.partitionBy("label").orderBy("vec_id")))).where("s is not null")
+    s = _neighbouring(t)
     return s.groupBy("label").agg(F.round(F.percentile("s", 0.5), 6).alias("median"), F.round(F.percentile("s", 0.9), 6).alias("p90"), F.count_if(F.col("s") >= 0.5).alias("alike"), F.count(F.lit(1)).alias("n"))
 
 
@@ -127,11 +132,13 @@ def order_checks(t: Tables) -> DataFrame:
     return s.groupBy(*_KEY).agg(F.coalesce(F.bool_and("ok"), F.lit(True)).alias("ordered"), F.count_if(~F.col("ok")).alias("violations"))
 
 
-@query("""SELECT video_id, coalesce(max(g), 0) AS widest, round(coalesce(avg(g), 0), 6) AS mean FROM (SELECT video_id, lead(frame_idx) OVER (PARTITION BY video_id ORDER BY frame_idx) - frame_idx AS g FROM kf WHERE frame_idx IS NOT NULL) GROUP BY 1""")
+@query("""SELECT video_id, coalesce(max(g), 0) AS widest, round(coalesce(avg(g), 0), 6) AS mean FROM (SELECT video_id, lead(frame_idx) OVER (PARTITION BY video_id ORDER BY frame_idx) - frame_idx AS g FROM kf WHERE frame_idx IS NOT NULL AND video_id IS NOT NULL) GROUP BY 1""")
 def frame_gaps(t: Tables) -> DataFrame:
     """Gaps between neighbouring keyframes."""
-    g = F.lead("frame_idx").over(Window.partitionBy("video_id").orderBy("frame_idx")) - F.col("frame_idx")
-    return t.kf.where("frame_idx is not null").select("video_id", g.alias("g")).groupBy("video_id").agg(F.coalesce(F.max("g"), F.lit(0)).alias("widest"), F.round(F.coalesce(F.avg("g"), F.lit(0)), 6).alias("mean"))
+    order = ["frame_idx", "keyframe_id"]
+    rows = scan(chunked(t.kf.where("frame_idx is not null and video_id is not null"), ["video_id"], order), ["video_id"], order, after={"next": F.col("frame_idx")})
+    g = F.col("next") - F.col("frame_idx")
+    return rows.groupBy("video_id").agg(F.coalesce(F.max(g), F.lit(0)).alias("widest"), F.round(F.coalesce(F.avg(g), F.lit(0)), 6).alias("mean"))
 
 
 @query(f"WITH {_S} SELECT video_id, shot_index, part, count(*) AS steps, round(avg(y), 6) AS mean FROM (SELECT *, least(2, (i - 1) * 3 // count(*) OVER (PARTITION BY video_id, shot_index)) AS part FROM s) GROUP BY 1, 2, 3")
@@ -155,6 +162,5 @@ def tiled_segments(t: Tables) -> DataFrame:
 @query("""SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY s RANGE BETWEEN 60 PRECEDING AND CURRENT ROW) AS last_minute, coalesce(s - lag(s) OVER (PARTITION BY event_type ORDER BY s, event_id), 0) AS spacing FROM (SELECT event_id, event_type, epoch_us(ts) // 1000000 AS s FROM events)""")
 def request_rate(t: Tables) -> DataFrame:
     """Requests of the last minute at each request, and the seconds since the one before."""
-    e = t.raw("events").select("event_id", "event_type", F.floor(F.unix_micros("ts") / 1000000).alias("s"))
-    w = Window.partitionBy("event_type")
-    return e.select("event_id", F.count(F.lit(1)).over(w.orderBy("s").rangeBetween(-60, 0)).alias("last_minute"), F.coalesce(F.col("s") - F.lag("s").over(w.orderBy("s", "event_id")), F.lit(0)).alias("spacing"))
+    e = t.raw("events").select("event_id", "event_type", F.floor(F.unix_micros("ts") / 1000000).alias("s")).where("event_type is not null")
+    return W.request_rates(e, "event_type", "s", "event_id")

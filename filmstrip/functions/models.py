@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import re
+import time
+import zlib
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from typing import Protocol
 
 import numpy as np
@@ -62,6 +67,143 @@ def captions(df: DataFrame, row_id: str, image: str, backend: str = "mock", batc
     return df.select(row_id, image).mapInArrow(run, f"`{row_id}` {kind}, caption string")
 
 
+# What a call that failed gives in place of a caption, and what tells errors apart.
+EMPTY_ANSWER, FAILED_ANSWER, NO_QUOTA = "[rỗng]", "[lỗi API: {}]", "[hết quota]"
+QUOTA_WORDS, REFUSED_CODES, REFUSED_WORDS = ("429", "resource_exhausted", "quota"), ("400", "401", "403"), ("api_key", "api key", "permission", "invalid", "denied")
+
+
+def error_class(message: str) -> str:
+    """'quota', 'refused' (the access itself is bad, so trying again is of no use) or 'passing'."""
+    low = message.lower()
+    if any(w in low for w in QUOTA_WORDS):
+        return "quota"
+    if any(c in message for c in REFUSED_CODES) and any(w in low for w in REFUSED_WORDS):
+        return "refused"
+    return "passing"
+
+
+@dataclass(frozen=True)
+class Retries:
+    """How often a request is tried and how long is waited: `tries` calls at most; after a quota error as long as the
+    service says, else growing from a second by 1.7 to `most` seconds; after a passing one `pause` seconds."""
+
+    tries: int = 3
+    pause: float = 1.5
+    most: float = 20.0
+    sleep: Callable[[float], None] = time.sleep
+
+    def wait(self, message: str, failures: int) -> float:
+        said = re.search(r"retry in ([0-9.]+)s", message)
+        return min(self.most, float(said[1]) + 1.0 if said else 1.7 ** min(failures, 6))
+
+    def call(self, ask: Callable[[], str | None]) -> str:
+        """ask()'s answer, or a text in brackets that says what went wrong: an empty answer, an error, or no quota."""
+        for n in range(1, self.tries + 1):
+            try:
+                if text := (ask() or "").strip():
+                    return text
+                wrong = EMPTY_ANSWER
+            except Exception as e:  # noqa: BLE001 - any error of a service is this request's alone
+                kind = error_class(str(e))
+                wrong = NO_QUOTA if kind == "quota" else FAILED_ANSWER.format(str(e)[:60])
+                if kind == "refused":
+                    return wrong
+                if n < self.tries:
+                    self.sleep(self.wait(str(e), n) if kind == "quota" else self.pause)
+        return wrong
+
+
+def in_parallel(requests: list, ask: Callable[[object], str | None], fallback: Callable[[object], str | None] | None = None, workers: int = 8, retries: Retries = Retries()) -> tuple[list[str], dict[str, int]]:
+    """The answers to requests, in order, and how many came from the first way, from the fallback and from neither. The
+    fallback (such as single frames in place of a clip) is tried for an answer that is an error; workers share a task."""
+
+    def one(request: object) -> tuple[str, str]:
+        said = retries.call(lambda: ask(request))
+        if not said.startswith("[") or fallback is None:
+            return said, "failed" if said.startswith("[") else "first"
+        other = retries.call(lambda: fallback(request))
+        return (said, "failed") if other.startswith("[") else (other, "fallback")
+
+    with ThreadPoolExecutor(max(1, workers)) as pool:
+        rows = list(pool.map(one, requests))
+    counts = {k: sum(how == k for _, how in rows) for k in ("first", "fallback", "failed")}
+    return [said for said, _ in rows], counts
+
+
+class ImageEmbedder(Protocol):
+    """What an image model offers: a unit vector for each encoded picture."""
+
+    def embed(self, pictures: list[bytes]) -> np.ndarray: ...
+
+
+class MeanEmbedder:
+    """The means of `size` equal runs of a picture's bytes, centred, as a unit vector; a stand-in for an image model."""
+
+    def __init__(self, size: int = 16) -> None:
+        self.size = size
+
+    def embed(self, pictures: list[bytes]) -> np.ndarray:
+        rows = np.array([[part.mean() if len(part) else 0.0 for part in np.array_split(np.frombuffer(p, np.uint8).astype(float), self.size)] for p in pictures]).reshape(len(pictures), self.size)
+        rows -= rows.mean(1, keepdims=True)
+        return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-8)
+
+
+EMBEDDERS: dict[str, Callable[[], ImageEmbedder]] = {"mean": MeanEmbedder}
+
+
+def embed_images(df: DataFrame, row_id: str, image: str, backend: str = "mean", batch: int = 64) -> DataFrame:
+    """row_id and vector of each image, `batch` images a call; null and empty images get null."""
+    make = EMBEDDERS[backend]
+    kind = df.schema[row_id].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = make()
+        for b in batches:
+            images = b.column(1).to_pylist()
+            there = [i for i, x in enumerate(images) if x]
+            out: list[list[float] | None] = [None] * len(images)
+            for k in range(0, len(there), batch):
+                part = there[k : k + batch]
+                for i, v in zip(part, model.embed([images[i] for i in part]).tolist()):
+                    out[i] = v
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.float64()))], [row_id, "vector"])
+
+    return df.select(row_id, image).mapInArrow(run, f"`{row_id}` {kind}, vector array<double>")
+
+
+class FlowModel(Protocol):
+    """What an optical flow offers between two grey pictures: mean dx, dy and magnitude, and coherence from 0 to 1."""
+
+    def flow(self, before: np.ndarray, after: np.ndarray) -> tuple[float, float, float, float]: ...
+
+
+class ShiftFlow:
+    """The whole shift of at most `reach` pixels that makes two pictures most alike, a stand-in for a dense flow; the
+    coherence is how much of the difference it explains."""
+
+    def __init__(self, reach: int = 2) -> None:
+        self.reach = reach
+
+    def flow(self, before: np.ndarray, after: np.ndarray) -> tuple[float, float, float, float]:
+        a, b, r = before.astype(float), after.astype(float), self.reach
+        h, w = a.shape
+
+        def apart(dx: int, dy: int) -> float:
+            mine = b[max(dy, 0) : h + min(dy, 0), max(dx, 0) : w + min(dx, 0)]
+            return float(np.abs(mine - a[max(-dy, 0) : h + min(-dy, 0), max(-dx, 0) : w + min(-dx, 0)]).mean())
+
+        shifts = [(apart(dx, dy), abs(dx) + abs(dy), dx, dy) for dx in range(-min(r, w - 1), min(r, w - 1) + 1) for dy in range(-min(r, h - 1), min(r, h - 1) + 1)]
+        best, _, dx, dy = min(shifts)
+        still = apart(0, 0)
+        return float(dx), float(dy), float(np.hypot(dx, dy)), 1 - best / still if still else 0.0
+
+
+def picture_size(image: bytes, level: int = 6) -> int:
+    """How many bytes a picture takes when it is packed: a stand-in for the size of an encoded picture, which grows with
+    its detail in the same way."""
+    return len(zlib.compress(image, level))
+
+
 def embed_text(text: str | Column, size: int = 64, prefix: str = "") -> Column:
     """A unit vector of hashed words: a stand-in for a text model, in whose place it can be put. Blank texts get zeros."""
 

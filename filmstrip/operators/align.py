@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filmstrip.operators.joins import bins
+from filmstrip.plans.ordered import chunked, scan
+from filmstrip.plans.skew import join_small
 
 
 def align(df: DataFrame, key: list[str], pos: str, sims: str, phases: int, min_gap: int = 1, penalty: float = 0.0) -> DataFrame:
@@ -54,21 +56,25 @@ def spread(frame: Column, phases: int, budget: int = 100, stride: int = 8, half_
     return F.when(F.size(inside) > 0, inside).otherwise(F.array(F.least(F.greatest(frame, lo), hi)))
 
 
-def rank_share(score: Column, key: list[str], tie: str) -> Column:
-    """The score's rank from 0 for the lowest to 1 for the highest; a sole row has 0."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*key))
-    return (F.row_number().over(Window.partitionBy(*key).orderBy(score, tie)) - 1) / F.greatest(F.lit(1), n - 1)
+def _ranked(df: DataFrame, key: list[str], channel: str, cand: str, sim: str, best: bool) -> DataFrame:
+    """The rows with a similarity and __rank, from 0 for the lowest (or, with best, the highest) of its key and channel,
+    ties by cand. A key's rows are ranked over chunks, so it may have any number of them."""
+    known = df.where(F.col(sim).isNotNull()).withColumn("__by", -F.col(sim) if best else F.col(sim))
+    group, order = [*key, channel], ["__by", cand]
+    return scan(chunked(known, group, order), group, order, sums={"__n": F.lit(1)}).withColumn("__rank", F.col("__n") - 1)
 
 
 def weighted_fusion(df: DataFrame, key: list[str], channel: str, cand: str, sim: str, weight: str) -> DataFrame:
-    """key, cand, fused: the weighted mean of the channels' rank shares; channels without a similarity are left out."""
-    known = df.where(F.col(sim).isNotNull())
-    ranked = known.withColumn("__r", rank_share(F.col(sim), [*key, channel], cand))
-    return ranked.groupBy(*key, cand).agg((F.sum(F.col("__r") * F.col(weight)) / F.sum(weight)).alias("fused"))
+    """key, cand, fused: the weighted mean of the channels' rank shares, from 0 for the lowest to 1 for the highest (a
+    sole row has 0); channels without a similarity are left out."""
+    ranked = _ranked(df, key, channel, cand, sim, best=False)
+    sizes = ranked.groupBy(*key, channel).agg(F.count(F.lit(1)).alias("__all"))
+    share = F.col("__rank") / F.greatest(F.lit(1), F.col("__all") - 1)
+    rows = join_small(ranked, sizes, [*key, channel]).withColumn("__r", share)
+    return rows.groupBy(*key, cand).agg((F.sum(F.col("__r") * F.col(weight)) / F.sum(weight)).alias("fused"))
 
 
 def reciprocal_fusion(df: DataFrame, key: list[str], channel: str, cand: str, sim: str, weight: str, k: int = 60) -> DataFrame:
     """key, cand, fused: the sum over channels of weight / (k + rank), ranks from 0 for the best."""
-    known = df.where(F.col(sim).isNotNull())
-    rank = F.row_number().over(Window.partitionBy(*key, channel).orderBy(F.desc(sim), cand)) - 1
-    return known.withColumn("__r", rank).groupBy(*key, cand).agg(F.sum(F.col(weight) / (k + F.col("__r"))).alias("fused"))
+    rows = _ranked(df, key, channel, cand, sim, best=True)
+    return rows.groupBy(*key, cand).agg(F.sum(F.col(weight) / (k + F.col("__rank"))).alias("fused"))

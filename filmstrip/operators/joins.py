@@ -66,6 +66,15 @@ def nearest_in_pool(events: DataFrame, pool: DataFrame, key: str, at: str, own:
     return with_own.unionByName(found).unionByName(unplaced)
 
 
+def value_at(points: DataFrame, pool: DataFrame, key: str, at: str, point_id: str, frame: str, value: str) -> DataFrame:
+    """point_id and value of the pool's row of the same key whose frame is the point's or, if there is none, nearest to
+    it (the lower of two; of several at one frame the least value). Points of keys without frames give no row."""
+    own = points.select(point_id, key, at).dropna().withColumn("__own", F.array().cast("array<bigint>"))
+    rep = nearest_in_pool(own, pool, key, at, "__own", frame, point_id)
+    values = pool.dropna(subset=[key, frame]).groupBy(key, F.col(frame).cast("long").alias("rep_frame")).agg(F.min(value).alias(value))
+    return own.select(point_id, key).join(rep, point_id).join(values, [key, "rep_frame"]).select(point_id, value)
+
+
 def collected_in_interval(events: DataFrame, points: DataFrame, keys: list[str], start: str, end: str, at: str, out: str, width: int = BIN) -> DataFrame:
     """events with a sorted array of the points of its keys inside each interval, empty for none. Joined by bin, as in
     in_interval; events with equal values in all columns stay separate rows."""

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filmstrip.functions.vectors import dot, doubles, normalised
 from filmstrip.operators.align import reciprocal_fusion
 from filmstrip.plans.skew import fits
-from filmstrip.session import broadcast_limit, partitions
+from filmstrip.session import broadcast_limit, cut, partitions
 
 K1, B = 1.2, 0.75
 
@@ -28,26 +30,27 @@ def inverted_index(docs: DataFrame, doc_id: str, fields: list[str]) -> DataFrame
     return rows.select("field", "doc_id", F.size("t").alias("len"), F.explode("t").alias("term")).groupBy("field", "term", "doc_id", "len").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def bm25(docs: DataFrame, queries: DataFrame, doc_id: str, fields: list[str], query_id: str, query: str, top: int | None) -> DataFrame:
+def bm25(docs: DataFrame, queries: DataFrame, doc_id: str, fields: list[str], query_id: str, query: str, top: int | None, keep: Column | None = None) -> DataFrame:
     """query_id, doc_id, score, rank: the `top` best documents for each query by the best of their fields' BM25 scores
-    (ties to the lower id); without top, all documents with a word of the query, and no rank.
+    (ties to the lower id); without top, all documents with a word of the query, and no rank. With keep, a test of
+    docs' columns (such as a keyword's equality), only documents that pass it are answers.
 
-    Only terms that some query has leave the documents' scan: the queries' terms are counted and broadcast up to the
-    session's limit, else joined. Frequencies are of all documents.
+    Texts are split once: terms that no query has leave the scan as one row a document, which tells its length. The
+    queries' terms are counted and broadcast up to the session's limit, else joined. Frequencies are of all documents,
+    also of those that `keep` leaves out.
     """
     asked = queries.select(F.col(query_id).alias("query_id"), F.explode(F.array_distinct(terms(F.col(query)))).alias("term"))
-    words = asked.select("term").distinct()
     small = fits(asked)
-    parts = None
-    for f in fields:
-        rows = docs.select(F.lit(f).alias("field"), F.col(doc_id).alias("doc_id"), terms(F.col(f)).alias("t")).where(F.size("t") > 0)
-        parts = rows if parts is None else parts.unionByName(rows)
-    stats = parts.groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"), F.avg(F.size("t")).alias("avg_len"))  # a row a field
-    flat = parts.select("field", "doc_id", F.size("t").alias("len"), F.explode("t").alias("term"))
-    flat = flat.join(F.broadcast(words) if small else words, "term", "left_semi")
-    tf = flat.groupBy("field", "term", "doc_id", "len").agg(F.count(F.lit(1)).alias("tf"))
+    words = asked.select("term").distinct().withColumn("asked", F.lit(True))
+    kept = F.coalesce(keep, F.lit(False)) if keep is not None else F.lit(True)
+    parts = reduce(DataFrame.unionByName, [docs.select(F.lit(f).alias("field"), F.col(doc_id).alias("doc_id"), kept.alias("kept"), terms(F.col(f)).alias("t")) for f in fields]).where(F.size("t") > 0)
+    flat = parts.select("field", "doc_id", "kept", F.size("t").alias("len"), F.explode(F.array_append("t", F.lit(""))).alias("term"))  # no term is empty
+    flat = flat.join(F.broadcast(words) if small else words, "term", "left").withColumn("term", F.when(F.col("asked"), F.col("term")))
+    tf = cut(flat.groupBy("field", "term", "doc_id", "kept", "len").agg(F.count(F.lit(1)).alias("tf")))
+    stats = tf.where("term is null").groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"), F.avg("len").alias("avg_len"))  # a row a field
+    tf = tf.where("term is not null")
     df = tf.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
-    weighed = tf.join(F.broadcast(df) if small else df, ["field", "term"]).join(F.broadcast(stats), "field")
+    weighed = tf.where("kept").join(F.broadcast(df) if small else df, ["field", "term"]).join(F.broadcast(stats), "field")
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     gain = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("avg_len")))
     weighed = weighed.select("field", "term", "doc_id", gain.alias("gain"))

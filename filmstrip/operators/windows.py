@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from filmstrip.plans.ordered import chunked, scan
+
 
 def gaussian(sigma: float) -> list[float]:
     """Weights of a normalised bell curve, of radius three sigma (1 at least)."""
@@ -103,6 +105,21 @@ def steepest(df: DataFrame, key: list[str], at: str, size: str, ratio: float, wi
     return rows.where(F.col("steep") | cover).select(*key, at, F.when(F.col("steep"), "steep").otherwise("cover").alias("pick"))
 
 
+def request_rates(df: DataFrame, key: str, at: str, row_id: str, width: int = 60) -> DataFrame:
+    """row_id, last_minute (rows of the key in the `width` seconds up to each row, its own second included) and spacing
+    (seconds since the row before; 0 for the first). Rows with nulls take no part.
+
+    A key may hold most rows: counts are made within (key, span of `width` seconds), for which each row is also laid into
+    the span after its own, and neighbours are carried over chunks.
+    """
+    rows = df.select(key, at, row_id).dropna()
+    spans = rows.select(key, at, row_id, F.explode(F.array(F.struct(F.lit(True).alias("own"), F.floor(F.col(at) / width).alias("n")), F.struct(F.lit(False).alias("own"), (F.floor(F.col(at) / width) + 1).alias("n")))).alias("x"))
+    by = Window.partitionBy(key, "x.n").orderBy(at).rangeBetween(-width, 0)
+    counts = spans.withColumn("last_minute", F.count(F.lit(1)).over(by)).where("x.own").select(row_id, "last_minute")
+    near = scan(chunked(rows, [key], [at, row_id]), [key], [at, row_id], prior={"__before": F.col(at)})
+    return counts.join(near.select(row_id, F.coalesce(F.col(at) - F.col("__before"), F.lit(0)).alias("spacing")), row_id)
+
+
 def islands(df: DataFrame, key: list[str], at: str, gap: float, out: str) -> DataFrame:
     """df with the number of its session within the key, from 0: a new one begins when more than gap passes. Times that
     tie are in one session."""

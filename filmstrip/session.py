@@ -34,17 +34,21 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df read back from the shared checkpoint folder: later stages, and retries after a lost executor, start there.
-
-    The folder is the session's spark.checkpoint.dir; only where none is set (tests on one machine) a temporary one is.
-    """
-    sc = df.sparkSession.sparkContext
+def work_folder(spark: SparkSession) -> str:
+    """The shared folder for what is cut or kept between jobs: the session's spark.checkpoint.dir; only where none is set
+    (tests on one machine) a temporary one."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         configured = sc.getConf().get("spark.checkpoint.dir")
         if configured is None and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="filmstrip-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df read back from the shared checkpoint folder: later stages, and retries after a lost executor, start there."""
+    work_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

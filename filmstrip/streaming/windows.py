@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from filmstrip.session import work_folder
+
 
 def read_files(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 10) -> DataFrame:
     """A stream of the Parquet files under a path, a bounded number of files a batch."""
@@ -36,8 +39,17 @@ def run_available(stream: DataFrame, each: Callable[[DataFrame, int], None], che
     q.awaitTermination()
 
 
-def collect_available(stream: DataFrame, name: str, mode: str = "complete") -> DataFrame:
-    """What a stream gives for all that is there, as a table in memory (for results of bounded size)."""
-    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return stream.sparkSession.table(name)
+def to_files(stream: DataFrame, name: str, mode: str = "complete") -> DataFrame:
+    """What a stream gives for all that is there, as a table of Parquet files in the shared work folder, read back. In
+    mode complete each batch replaces the result, in append and update it adds to it; each batch is written to a folder
+    of its own, so one that is tried again doesn't count twice."""
+    folder = f"{work_folder(stream.sparkSession)}/{name}-{uuid.uuid4().hex}"
+
+    def each(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/out" if mode == "complete" else f"{folder}/out/batch={number}")
+
+    run_available(stream, each, f"{folder}/checkpoint", mode)
+    spark = stream.sparkSession
+    empty = spark.createDataFrame([], stream.schema)
+    empty.write.mode("append").parquet(f"{folder}/out" if mode == "complete" else f"{folder}/out/batch=-1")
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out")

@@ -18,7 +18,7 @@ def test_rates_equal_the_batch(spark, tmp_path):
     data = [("a", T0 + timedelta(seconds=20 * i)) for i in range(30)] + [("b", T0)]
     files(spark, path, [data[:15], data[15:]])
     s = windows.read_files(spark, path, spark.read.parquet(path).schema, 1)
-    got = {(r.k, r.start): r.n for r in windows.collect_available(windows.rates(s, "ts", "k"), "rates_test").collect()}
+    got = {(r.k, r.start): r.n for r in windows.to_files(windows.rates(s, "ts", "k"), "rates_test").collect()}
     assert got == {**{("a", T0 + timedelta(minutes=m)): 3 for m in range(10)}, ("b", T0): 1}
 
 
@@ -26,7 +26,7 @@ def test_sessions(spark, tmp_path):
     path = str(tmp_path / "in")
     files(spark, path, [[("a", T0), ("a", T0 + timedelta(minutes=10)), ("a", T0 + timedelta(hours=2))]])
     s = windows.read_files(spark, path, spark.read.parquet(path).schema)
-    assert sorted(r.n for r in windows.collect_available(windows.sessions(s, "ts", "k"), "sessions_test").collect()) == [1, 2]
+    assert sorted(r.n for r in windows.to_files(windows.sessions(s, "ts", "k"), "sessions_test").collect()) == [1, 2]
 
 
 def test_batches_resume(spark, tmp_path):
@@ -49,7 +49,7 @@ def test_quota_stream(spark, tmp_path):
     path = str(tmp_path / "in")
     spark.createDataFrame([("a", i, float(i), False) for i in range(5)] + [("b", 9, 0.0, False)], "k string, request_id long, at double, failed boolean").coalesce(1).write.parquet(path)
     s = windows.read_files(spark, path, spark.read.parquet(path).schema)
-    got = windows.collect_available(quota.quota(s, "k", 3), "quota_test", "append").collect()
+    got = windows.to_files(quota.quota(s, "k", 3), "quota_test", "append").collect()
     assert {r.request_id: r.granted for r in got} == {0: True, 1: True, 2: True, 3: False, 4: False, 9: True}
 
 
