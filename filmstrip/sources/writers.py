@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filmstrip.functions import ids
 from filmstrip.operators.joins import latest
-from filmstrip.plans.ordered import chunked, positions
+from filmstrip.plans.ordered import chunked, positions, scan
+from filmstrip.plans.skew import join_small
+from filmstrip.session import cut
 
 
 def json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -28,9 +30,9 @@ def frame_maps(keyframes: DataFrame, path: str) -> None:
 
 def numbered(keyframes: DataFrame) -> DataFrame:
     """keyframes (video_id, shot_index, frame_idx, ...) with id over all in order, n in the video, keyframe_id, shot_id."""
-    placed = positions(chunked(keyframes, ["video_id"], ["frame_idx"], seats=True), "id")
-    n = F.row_number().over(Window.partitionBy("video_id").orderBy("frame_idx"))
-    rows = placed.withColumn("n", n)
+    placed = cut(positions(chunked(keyframes, ["video_id"], ["frame_idx"], seats=True), "id"))
+    first = placed.groupBy("video_id").agg(F.min("id").alias("__first"))
+    rows = join_small(placed, first, ["video_id"]).withColumn("n", (F.col("id") - F.col("__first") + 1).cast("int")).drop("__first")
     return rows.withColumn("keyframe_id", ids.keyframe_id(F.col("video_id"), F.col("n"))).withColumn("shot_id", ids.shot_id(F.col("video_id"), F.col("shot_index")))
 
 
@@ -47,27 +49,32 @@ def finalize(keyframes: DataFrame, shots: DataFrame, events: DataFrame | None, p
 def packaged(keyframes: DataFrame, present: DataFrame) -> DataFrame:
     """n, name, old_name, shot_id, keyframe_id, frame_idx per video: pictures renumbered from 1 in order of frames. A
     picture that isn't there (present: video_id, name) keeps its number, so numbers may have holes."""
-    n = F.row_number().over(Window.partitionBy("video_id").orderBy("frame_idx"))
-    rows = keyframes.withColumn("n", n).withColumn("old_name", ids.basename(F.col("keyframe_path")))
+    rows = scan(chunked(keyframes, ["video_id"], ["frame_idx"]), ["video_id"], ["frame_idx"], sums={"__n": F.lit(1)})
+    rows = rows.withColumn("n", F.col("__n")).withColumn("old_name", ids.basename(F.col("keyframe_path")))
     there = present.select("video_id", F.col("name").alias("old_name")).distinct()
     return rows.join(there, ["video_id", "old_name"], "left_semi").select("video_id", "n", F.format_string("%03d.jpg", "n").alias("name"), "old_name", "shot_id", "keyframe_id", "frame_idx")
 
 
 def rewritten(df: DataFrame, path: str, dry_run: bool = True) -> int:
-    """df's rows in place of a Parquet folder: written beside it, the old one kept once as .bak, then swapped. A dry run
-    only counts. Works on any file system that Spark can reach."""
+    """df's rows in place of a Parquet folder. They are written beside it (.new), the old folder is moved away, kept once
+    as .bak and else as .old, the new one moved in its place, and .old deleted last: at every moment a whole table is
+    there under one of these names, and the next call puts back one that was moved away and not replaced. A dry run only
+    counts. Works on any file system that Spark can reach."""
     n = df.count()
     if dry_run:
         return n
     jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-    new, old, bak = (jvm.org.apache.hadoop.fs.Path(path + s) for s in (".new", "", ".bak"))
-    fs = old.getFileSystem(conf)
+    new, at, bak, old = (jvm.org.apache.hadoop.fs.Path(path + s) for s in (".new", "", ".bak", ".old"))
+    fs = at.getFileSystem(conf)
     df.write.mode("overwrite").parquet(path + ".new")
-    if fs.exists(bak):
-        fs.delete(old, True)
-    else:
-        fs.rename(old, bak)
-    fs.rename(new, old)
+    if not fs.exists(at) and fs.exists(old):
+        fs.rename(old, at)
+    away = old if fs.exists(bak) else bak
+    fs.delete(old, True)
+    if fs.exists(at):
+        fs.rename(at, away)
+    fs.rename(new, at)
+    fs.delete(old, True)
     return n
 
 
