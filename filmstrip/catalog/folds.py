@@ -100,15 +100,20 @@ def filled_gaps(t: Tables) -> DataFrame:
     return rows.select(*_KEY, F.array_join(F.transform(filled, lambda x: x["f"].cast("string")), ",").alias("frames"))
 
 
-@query()
+@query(f"""WITH {_S}, c AS (SELECT video_id, scene_id, list_reduce(list([y] ORDER BY rn), lambda a, x: list_append(a, a[-1] + x[1])) AS cum FROM s GROUP BY 1, 2),
+    f AS (SELECT *, list_transform(range(5), lambda k: [len(list_filter(cum, lambda v: v < cum[-1] * k / 4))]) AS found FROM c), g AS (SELECT *, list_reduce(found, lambda a, x: CASE WHEN x[1] - a[-1] >= 2 THEN list_append(a, x[1]) ELSE a END) AS thin FROM f)
+    SELECT video_id, scene_id, array_to_string(list_sort(list_distinct(list_append(thin, len(cum) - 1))), ',') AS picks FROM g""")
 def arc_keyframes(t: Tables) -> DataFrame:
-    """Samples at equal parts of each scene's motion. Tested against a plain loop."""
+    """Samples at equal parts of each scene's motion."""
     cumulative = F.aggregate("items", F.array().cast("array<double>"), lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0)) + x["y"])))
     rows = scenes(t).withColumn("cum", cumulative)
     return rows.select(*_KEY, F.array_join(folds.arc_targets(F.col("cum"), F.lit(5), 2).cast("array<string>"), ",").alias("picks"))
 
 
-@query()
+@query(f"""WITH {_S}, m AS (SELECT *, count(*) OVER (PARTITION BY video_id, scene_id) AS n FROM s), r AS (SELECT video_id, scene_id, 1 AS rn, [f] AS fs, [y] AS ys, [id] AS ids FROM m WHERE m.rn = n // 2 + 1
+    UNION ALL SELECT video_id, scene_id, rn + 1, list_append(fs, f), list_append(ys, y), list_append(ids, id) FROM (SELECT r.*, s.f, s.y, s.id FROM r JOIN s ON s.video_id = r.video_id AND s.scene_id = r.scene_id WHERE r.rn < 3 AND list_min(list_transform(r.fs, lambda x: abs(x - s.f))) >= 25
+    QUALIFY row_number() OVER (PARTITION BY r.video_id, r.scene_id ORDER BY list_min(list_transform(r.ys, lambda x: abs(x - s.y))) DESC, s.f, s.id DESC) = 1) WHERE list_min(list_transform(ys, lambda x: abs(x - y))) >= 0.35::DOUBLE),
+    z AS (SELECT * FROM r {_LAST}), u AS (SELECT video_id, scene_id, unnest(fs) AS f, unnest(ids) AS id FROM z) SELECT video_id, scene_id, string_agg(id, ',' ORDER BY f) AS kept FROM u GROUP BY 1, 2""", recursive=True)
 def diverse_events(t: Tables) -> DataFrame:
-    """Up to three unlike events of each scene, apart in time. Tested against a plain loop."""
+    """Up to three unlike events of each scene, apart in time."""
     return folds.max_min_picks(scenes(t), _apart, lambda x: x["f"], 3, 0.35, 25).select(*_KEY, _ids().alias("kept"))

@@ -31,9 +31,9 @@ def streamed_sessions(t: Tables) -> DataFrame:
     return out.groupBy("user_id").agg(F.count(F.lit(1)).alias("sessions"), F.sum("n").alias("events"), F.max("n").alias("longest"))
 
 
-@query()
+@query("""SELECT id, '1 pictures, brightness ' || CASE WHEN octet_length(image) = 0 THEN 0 ELSE round_even(list_avg(list_transform(range(octet_length(image)), lambda i: instr('0123456789ABCDEF', substr(hex(image), (2 * i + 1)::INT, 1)) * 16 + instr('0123456789ABCDEF', substr(hex(image), (2 * i + 2)::INT, 1)) - 17)), 0)::INT END AS caption FROM (SELECT DISTINCT id, image FROM keyframes)""")
 def mock_captions(t: Tables) -> DataFrame:
-    """Every keyframe's caption by the stand-in model. Tested on a few pictures."""
+    """Every keyframe's caption by the stand-in model."""
     rows = t.raw("keyframes").select("id", "image").groupBy("id", "image").agg(F.lit(1).alias("one"))
     return captions(rows, "id", "image")
 
