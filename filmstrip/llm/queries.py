@@ -12,7 +12,7 @@ from filmstrip.llm.levels import levels
 from filmstrip.llm.mix import count_tokens, mix, report
 from filmstrip.llm.nearest import nearest_pairs
 from filmstrip.llm.residue import Linear, residue, train, validate
-from filmstrip.llm.runs import collapse_runs, motion_class, phrases
+from filmstrip.llm.runs import collapse_runs, phrases, with_motion_class
 from filmstrip.llm.subset import varied_subset
 from filmstrip.operators.copies import first_copies
 from filmstrip.session import cut, table
@@ -20,7 +20,7 @@ from filmstrip.session import cut, table
 
 def motion_runs(spark: SparkSession, sf: str) -> DataFrame:
     events = first_copies(table(spark, sf, "video_events"), ["id", "video_id", "shot_index", "ord_in_shot", "motion", "start_frame", "end_frame"])
-    return collapse_runs(events.withColumn("means", motion_class(F.col("motion"))), ["video_id", "shot_index"], ["ord_in_shot", "id"], "means", "start_frame", "end_frame")
+    return collapse_runs(with_motion_class(events, "motion", "means"), ["video_id", "shot_index"], ["ord_in_shot", "id"], "means", "start_frame", "end_frame")
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,20 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filmstrip.functions import labels
 from filmstrip.functions.fold import squeeze
 from filmstrip.plans.ordered import chunked, positions
+from filmstrip.plans.skew import join_small
 from filmstrip.session import cut
 
-# How a movement is written in full.
-STILL = ("gần như tĩnh",)
-IN_PLACE = ("chuyển động tại chỗ",)
-MOVERS = ("camera lia", "chủ thể/vật di chuyển")
-WAYS = ("lên", "xuống", "trái", "phải", "trái/lên", "trái/xuống", "phải/lên", "phải/xuống")
-LEVELS = ("nhẹ", "vừa", "mạnh")
+WAYS = (labels.UP, labels.DOWN, labels.LEFT, labels.RIGHT, *(f"{x}/{y}" for x in (labels.LEFT, labels.RIGHT) for y in (labels.UP, labels.DOWN)))
+LEVELS = (labels.LIGHT, labels.MEDIUM, labels.STRONG)
 
 
 def phrases() -> list[str]:
-    return [*STILL, *(f"{p} ({v})" for p in IN_PLACE for v in LEVELS), *(f"{m} sang {w} ({v})" for m in MOVERS for w in WAYS for v in LEVELS)]
+    """How every movement is written in full."""
+    return [labels.STILL, *(f"{labels.IN_PLACE} ({v})" for v in LEVELS), *(f"{m} {w} ({v})" for m in (labels.CAMERA, labels.SUBJECT) for w in WAYS for v in LEVELS)]
 
 
 def _bare(text: str) -> str:
@@ -42,6 +41,13 @@ def motion_class(motion: Column) -> Column:
     return F.when(bare.isNull() | (bare == ""), None).when(bare.isin(known), bare).otherwise(fuzzy)
 
 
+def with_motion_class(df: DataFrame, motion: str, out: str) -> DataFrame:
+    """df with motion_class of a column. Each different text is classified once, as texts are far fewer than rows; their
+    classes are broadcast if they are counted to be few, and joined with hot texts salted if not."""
+    texts = df.select(motion).where(F.col(motion).isNotNull()).distinct()
+    return join_small(df, cut(texts.withColumn(out, motion_class(F.col(motion)))), [motion], "left")
+
+
 def collapse_runs(df: DataFrame, keys: list[str], order: list[str], same: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """One row per longest run of neighbouring rows of a key whose `same` values are equal.
 
