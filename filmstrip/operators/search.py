@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filmstrip.functions.vectors import dot, doubles, normalised
+from filmstrip.functions.vectors import doubles, normalised
 from filmstrip.operators.align import reciprocal_fusion
 from filmstrip.plans.skew import fits
 from filmstrip.session import broadcast_limit, cut, partitions
@@ -67,26 +71,50 @@ def top_per_key(df: DataFrame, key: list[str], order: list[Column], top: int) ->
 
 
 def cosine_top(rows: DataFrame, queries: DataFrame, row_id: str, vector: str, query_id: str, query_vector: str, top: int | None, same: bool = False) -> DataFrame:
-    """query_id, row_id, score, rank: the exact `top` nearest rows of each query by cosine (ties to the lower id); with
-    same, a row may be its own answer. Without top, every row with each query, and no rank.
+    """query_id, row_id, score, rank: the exact `top` nearest rows of each query by cosine (ties, to twelve places, to the
+    lower id); with same, a row may be its own answer. Without top, every row with each query, and no rank. Null vectors
+    take no part, nor do rows whose vector is of another length than the queries'.
 
     The queries are a stated set; blocks of at most the session's broadcast limit of them go to all rows, so a larger set
-    is more passes and never a larger broadcast. Each pass ranks before its shuffle.
+    is more passes and never a larger broadcast. In a pass, each batch of rows is multiplied with the block as a matrix,
+    and only what may be among the `top` of a query leaves the batch.
     """
     q = queries.select(F.col(query_id).alias("query_id"), normalised(doubles(F.col(query_vector))).alias("q")).dropna()
     r = rows.select(F.col(row_id).alias("row_id"), normalised(doubles(F.col(vector))).alias("v")).dropna()
     limit = max(1, broadcast_limit(rows.sparkSession) // 4)
     blocks = max(1, -(-q.count() // limit))
+    schema = f"query_id {q.schema['query_id'].dataType.simpleString()}, row_id {r.schema['row_id'].dataType.simpleString()}, score double"
     out = None
     for k in range(blocks):
         mine = q.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == k) if blocks > 1 else q
-        test = F.lit(True) if same else F.col("query_id") != F.col("row_id")
-        pairs = r.join(F.broadcast(mine), test).select("query_id", "row_id", dot(F.col("v"), F.col("q")).alias("score"))
-        part = pairs if top is None else top_per_key(pairs, ["query_id"], [F.desc("score"), F.asc("row_id")], top)
+        held = mine.toArrow()  # a block
+        size = held.column("q").combine_chunks().value_lengths()[0].as_py() if len(held) else 0
+        pairs = r.where(F.size("v") == size).mapInArrow(_products(held.filter(pc.equal(pc.list_value_length(held.column("q")), size)), size, top, same), schema)
+        part = pairs if top is None else top_per_key(pairs, ["query_id"], [F.desc(F.round("score", 12)), F.asc("row_id")], top)
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def _products(held: pa.Table, size: int, top: int | None, same: bool):  # noqa: ANN202
+    ids = held.column("query_id").combine_chunks()
+    names = ids.to_numpy(zero_copy_only=False)[None, :]
+    matrix = held.column("q").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(held), size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            v = b.column("v").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, size)
+            score = v @ matrix.T
+            own = np.zeros(score.shape, bool) if same else b.column("row_id").to_numpy(zero_copy_only=False)[:, None] == names
+            score[own] = -np.inf
+            keep = ~own
+            if top is not None and b.num_rows > top:
+                keep &= score >= np.partition(score, b.num_rows - top, axis=0)[b.num_rows - top] - 1e-11
+            i, j = np.nonzero(keep)
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(j)), b.column("row_id").take(pa.array(i)), pa.array(score[i, j])], ["query_id", "row_id", "score"])
+
+    return run
+
+
 def hybrid(ranked: list[tuple[DataFrame, float]], top: int, k: int = 60) -> DataFrame:
     """query_id, cand, fused, rank: lists of (query_id, cand, score) with weights, fused by reciprocal rank. What
     is missing from a list gets no share of it, so whole lists give the exact result. They are shuffled once, by query."""
