@@ -110,10 +110,10 @@ def known_queries(t: Tables) -> DataFrame:
 
 @query("""SELECT k.keyframe_id, b, a, greatest(frame_idx - 5, 0) AS lo5, least(frame_idx + 5, v.n_frames - 1) AS hi5, greatest(frame_idx - 90, 0) AS lo90, least(frame_idx + 90, v.n_frames - 1) AS hi90, (b + frame_idx) // 2 AS span_lo, (frame_idx + a) // 2 AS span_hi
     FROM (SELECT keyframe_id, video_id, frame_idx, coalesce(lag(frame_idx) OVER w, 0) AS b, coalesce(lead(frame_idx) OVER w, frame_idx) AS a FROM kf WHERE frame_idx IS NOT NULL AND video_id IS NOT NULL
-    WINDOW w AS (PARTITION BY video_id ORDER BY frame_idx)) k JOIN (SELECT DISTINCT video_id, n_frames FROM vi) v USING (video_id)""")
+    WINDOW w AS (PARTITION BY video_id ORDER BY frame_idx, keyframe_id)) k JOIN (SELECT DISTINCT video_id, n_frames FROM vi) v USING (video_id)""")
 def answer_ranges(t: Tables) -> DataFrame:
     """Ranges of frames that count as an answer around each keyframe."""
-    k = joins.neighbours(t.kf.where("frame_idx is not null and video_id is not null"), "video_id", "frame_idx").join(t.vi.select("video_id", "n_frames").distinct(), "video_id")
+    k = joins.neighbours(t.kf.where("frame_idx is not null and video_id is not null"), "video_id", "frame_idx", "keyframe_id").join(t.vi.select("video_id", "n_frames").distinct(), "video_id")
     r = tolerance_ranges(F.col("frame_idx"), F.col("before"), F.col("after"), F.col("n_frames") - 1)
     rows = k.select("keyframe_id", F.col("before").alias("b"), F.col("after").alias("a"), r.alias("r"))
     return rows.select("keyframe_id", "b", "a", *[F.col("r")[name][i].alias(out) for name, i, out in (("tol5", 0, "lo5"), ("tol5", 1, "hi5"), ("tol90", 0, "lo90"), ("tol90", 1, "hi90"), ("kf_span", 0, "span_lo"), ("kf_span", 1, "span_hi"))])

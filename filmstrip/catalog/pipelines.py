@@ -11,6 +11,8 @@ from filmstrip.operators import folds
 from filmstrip.operators.joins import nearest_in_pool, value_at
 from filmstrip.plans.detection import shots
 from filmstrip.plans.localise import localise
+from filmstrip.plans.ordered import chunked, scan
+from filmstrip.plans.ordinals import ordinals
 from filmstrip.plans.segmentation import segment
 
 
@@ -42,11 +44,11 @@ def model_windows(t: Tables) -> DataFrame:
 
 
 @query("""SELECT s.id, 'Label ' || greatest(n_keyframes, 1) || ' pictures, one line each.' || CASE WHEN motion_hint <> '' THEN chr(10) || 'Motion: ' || motion_hint ELSE '' END || CASE WHEN c <> '' THEN chr(10) || 'Before: ' || c ELSE '' END AS prompt FROM
-    (SELECT id, n_keyframes, motion_hint, lag(motion_hint) OVER (PARTITION BY video_id ORDER BY shot_index, id) AS c FROM sh) s""")
+    (SELECT id, n_keyframes, motion_hint, lag(motion_hint) OVER (PARTITION BY video_id ORDER BY shot_index, id) AS c FROM sh WHERE video_id IS NOT NULL) s""")
 def prompts(t: Tables) -> DataFrame:
     """A labelling prompt per shot, with its motion and that of the shot before."""
-    before = F.lag("motion_hint").over(Window.partitionBy("video_id").orderBy("shot_index", "id"))
-    rows = t.sh.withColumn("c", before)
+    order = ["shot_index", "id"]
+    rows = scan(chunked(t.sh.where("video_id is not null"), ["video_id"], order), ["video_id"], order, prior={"c": F.col("motion_hint")})
     return rows.select("id", labels.prompt(F.greatest("n_keyframes", F.lit(1)), F.col("motion_hint"), F.col("c")).alias("prompt"))
 
 
@@ -66,9 +68,9 @@ def ground_truth(t: Tables) -> DataFrame:
     from filmstrip.functions.ids import numbered
     from filmstrip.plans.ordered import chunked, positions
 
-    w = Window.partitionBy("video_id")
-    k = t.kf.dropna(subset=["frame_idx", "video_id"]).withColumn("pos", F.row_number().over(w.orderBy("frame_idx", "keyframe_id")) - 1).withColumn("n", F.count(F.lit(1)).over(w))
-    k = k.where("n >= 20 and pos >= floor(0.1D * n) and pos < floor(0.9D * n)").withColumn("r", F.row_number().over(w.orderBy(F.md5(F.concat(F.lit("42"), "keyframe_id")), "keyframe_id"))).where("r = 1")
+    k = ordinals(t.kf.dropna(subset=["frame_idx", "video_id"]), ["video_id"], ["frame_idx", "keyframe_id"], "pos", "n")
+    drawn = F.struct(F.md5(F.concat(F.lit("42"), "keyframe_id")).alias("h"), "keyframe_id", "frame_idx")
+    k = k.where("n >= 20 and pos >= floor(0.1D * n) and pos < floor(0.9D * n)").groupBy("video_id").agg(F.min(drawn)["frame_idx"].alias("frame_idx"))
     rows = k.join(t.vi.select("video_id", "n_frames").distinct(), "video_id").select("video_id", "frame_idx", "n_frames")
     placed = positions(chunked(rows, [], ["video_id"], seats=True), "i")
     return placed.select(numbered("kis_", F.col("i")).alias("query_id"), F.col("video_id").alias("gt_video"), F.col("frame_idx").alias("gt_frame"), F.greatest(F.col("frame_idx") - 30, F.lit(0)).alias("first"), F.least(F.col("frame_idx") + 30, F.col("n_frames") - 1).alias("last"))
@@ -102,9 +104,10 @@ def predicted_shots(t: Tables) -> DataFrame:
 def localised_phases(t: Tables) -> DataFrame:
     """Three phases of each label, found again among its rows in order. Tested on a known answer."""
     e = t.raw("embeddings").select("label", "vec_id", F.col("embedding").alias("clip"), F.col("embedding").alias("e5"))
-    n = F.percent_rank().over(Window.partitionBy("label").orderBy("vec_id"))
-    third = F.floor(F.least(n, F.lit(0.999)) * 3).cast("int")
-    first = e.withColumn("phase", third).withColumn("r", F.row_number().over(Window.partitionBy("label", "phase").orderBy("vec_id"))).where("r = 1")
+    placed = ordinals(e, ["label"], ["vec_id"], "i", "n")
+    share = F.col("i") / F.greatest(F.lit(1), F.col("n") - 1)
+    first = placed.withColumn("phase", F.floor(F.least(share, F.lit(0.999)) * 3).cast("int"))
+    first = first.groupBy("label", "phase").agg(F.min(F.struct("vec_id", "clip", "e5")).alias("x")).select("label", "phase", "x.clip", "x.e5")
     out = localise(e, first.select("label", "phase", "clip", "e5"), "label", "vec_id", "phase", {"clip": 3.0, "e5": 1.0}, 3, 1)
     return out.select("label", F.array_join(F.col("path").cast("array<string>"), ",").alias("path"), F.round("score", 6).alias("score"))
 

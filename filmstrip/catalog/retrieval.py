@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filmstrip.catalog.base import Tables, query
 from filmstrip.functions.vectors import cosine, doubles
 from filmstrip.operators import align, search
+from filmstrip.plans.ordinals import ordinals
 
 
 @query("""WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e, sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) AS n FROM embeddings) SELECT query_id, row_id, round(score, 6) AS score, rank FROM
@@ -138,17 +139,13 @@ def most_alike_pairs(t: Tables) -> DataFrame:
     return rows.orderBy(F.desc("s"), "b").limit(5).select("a", "b", F.round("s", 6).alias("similarity"))
 
 
-def _even(items: Column, k: int) -> Column:
-    """k of an array's items, evenly spread, first and last included."""
-    n = F.size(items)
-    return F.when(n <= k, items).otherwise(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.get(items, F.bround(i * (n - 1) / (k - 1), 0).cast("int"))))
-
-
 @query("""SELECT video_id, array_to_string(CASE WHEN n <= 4 THEN l ELSE list_transform(range(4), lambda i: l[CAST(round_even(i * (n - 1) / 3.0::DOUBLE, 0) AS INTEGER) + 1]) END, ',') AS frames FROM (SELECT video_id, list(frame_idx ORDER BY frame_idx) AS l, count(*) AS n FROM kf WHERE frame_idx IS NOT NULL GROUP BY 1)""")
 def even_frames(t: Tables) -> DataFrame:
     """Four of each video's keyframes, evenly spread."""
-    g = t.kf.where("frame_idx is not null").groupBy("video_id").agg(F.array_sort(F.collect_list("frame_idx")).alias("l"))
-    return g.select("video_id", F.array_join(_even(F.col("l"), 4).cast("array<string>"), ",").alias("frames"))
+    rows = ordinals(t.kf.where("frame_idx is not null"), ["video_id"], ["frame_idx", "keyframe_id"], "i", "n")
+    wanted = F.when(F.col("n") <= 4, F.array("i")).otherwise(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: F.bround(k * (F.col("n") - 1) / 3, 0).cast("long")))
+    four = rows.where(F.array_contains(wanted, F.col("i"))).groupBy("video_id").agg(F.array_sort(F.collect_list("frame_idx")).alias("l"))  # four at most
+    return four.select("video_id", F.array_join(F.col("l").cast("array<string>"), ",").alias("frames"))
 
 
 @query("""SELECT video_id, keyframe_id FROM (SELECT video_id, keyframe_id, row_number() OVER (PARTITION BY video_id ORDER BY md5('42' || keyframe_id), keyframe_id) AS r FROM kf) WHERE r = 1""")
@@ -169,8 +166,7 @@ def retry_batch(t: Tables) -> DataFrame:
     """The third batch of forty failed captions of each model, in a rotating order."""
     from filmstrip.functions.labels import is_error_text
 
-    w = Window.partitionBy("model")
-    bad = t.ca.where(is_error_text(F.col("caption"))).withColumn("i", F.row_number().over(w.orderBy("caption_id")) - 1).withColumn("n", F.count(F.lit(1)).over(w))
+    bad = ordinals(t.ca.where(is_error_text(F.col("caption"))), ["model"], ["caption_id"], "i", "n")
     return bad.where(F.pmod(F.col("i") - 80, F.col("n")) < 40).select("caption_id")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from filmstrip.catalog.base import Tables, query
 from filmstrip.functions import frames, ids, labels, vectors
 from filmstrip.plans.ordered import chunked, positions, scan
+from filmstrip.plans.ordinals import ordinals
 
 
 @query("""SELECT id, video_id, round(start_frame / fps, 6) AS start_time, round((end_frame + 1) / fps, 6) AS end_time,
@@ -59,8 +60,7 @@ def stride_frames(t: Tables) -> DataFrame:
     count(*) OVER (PARTITION BY video_id) AS n FROM kf WHERE frame_idx IS NOT NULL) WHERE n >= 20 AND pos >= floor(0.1::DOUBLE * n) AND pos < floor(0.9::DOUBLE * n)""")
 def edge_trim(t: Tables) -> DataFrame:
     """Keyframes of videos with twenty or more, without the first and last tenth."""
-    w = Window.partitionBy("video_id")
-    rows = t.kf.where("frame_idx is not null").withColumn("pos", F.row_number().over(w.orderBy("frame_idx", "keyframe_id")) - 1).withColumn("n", F.count(F.lit(1)).over(w))
+    rows = ordinals(t.kf.where("frame_idx is not null"), ["video_id"], ["frame_idx", "keyframe_id"], "pos", "n")
     return rows.where("n >= 20 and pos >= floor(0.1D * n) and pos < floor(0.9D * n)").select("keyframe_id", "video_id", "pos")
 
 

@@ -109,7 +109,9 @@ def remaining(everything: DataFrame, done: DataFrame, key: list[str]) -> DataFra
     return everything.join(done.select(*key).distinct(), key, "left_anti")
 
 
-def neighbours(df: DataFrame, key: str, at: str) -> DataFrame:
-    """df with before and after: the neighbouring times of the same key; 0 before the first, the last itself after it."""
-    w = Window.partitionBy(key).orderBy(at)
-    return df.withColumn("before", F.coalesce(F.lag(at).over(w), F.lit(0))).withColumn("after", F.coalesce(F.lead(at).over(w), F.col(at)))
+def neighbours(df: DataFrame, key: str, at: str, row_id: str) -> DataFrame:
+    """df with before and after: the neighbouring times of the same key; 0 before the first, the last itself after it.
+    (key, at, row_id) must be unique; carried over chunks, so a key may have any number of rows."""
+    order = [at, row_id]
+    rows = scan(chunked(df, [key], order), [key], order, prior={"before": F.col(at)}, after={"after": F.col(at)})
+    return rows.withColumn("before", F.coalesce("before", F.lit(0))).withColumn("after", F.coalesce("after", F.col(at)))
