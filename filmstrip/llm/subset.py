@@ -7,6 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -134,7 +135,7 @@ def varied_subset(df: DataFrame, sizes: DataFrame, key: str, row_id: str, image:
 
     def assign(group: pa.Table, pivots: pa.Table) -> pa.Table:
         """The rows that are no pivots, each in the cell of the nearest pivot or, if those are farther, of its old one."""
-        group = group.filter(pa.compute.invert(pa.compute.is_in(group.column("row_id"), pivots.column("row_id").combine_chunks())))
+        group = group.filter(pc.invert(pc.is_in(group.column("row_id"), pivots.column("row_id").combine_chunks())))
         if not len(group):
             return group.select(list(row))
         x, p = points(group), points(pivots)
