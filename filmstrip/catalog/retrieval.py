@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from filmstrip.catalog.base import Tables, query
 from filmstrip.functions.vectors import cosine, doubles
 from filmstrip.operators import align, search
+from filmstrip.operators.fused import fused_top
 from filmstrip.plans.ordinals import ordinals
 
 
@@ -78,14 +79,10 @@ def fused_by_reciprocal(t: Tables) -> DataFrame:
 def hybrid_search(t: Tables) -> DataFrame:
     """Documents for each query by words and by hashed embeddings, fused by reciprocal rank over both whole lists. Tested
     against brute force on a small set."""
-    from filmstrip.functions.models import embed_text
+    from filmstrip.functions.models import hashed_words
 
     docs = t.raw("documents").where("text is not null and trim(text) <> ''")
-    q = t.raw("kis_queries")
-    words = search.bm25(docs, q, "doc_id", ["text"], "query_id", "query", None).select("query_id", F.col("doc_id").alias("cand"), F.round("score", 9).alias("score"))
-    d, v = docs.select("doc_id", embed_text("text").alias("v")), q.select("query_id", embed_text("query").alias("qv"))
-    near = search.cosine_top(d, v, "doc_id", "v", "query_id", "qv", None, same=True).select("query_id", F.col("row_id").alias("cand"), F.round("score", 9).alias("score"))
-    return search.hybrid([(words, 1.0), (near, 1.0)], 10)
+    return fused_top(docs, t.raw("kis_queries"), "doc_id", "text", "query_id", "query", hashed_words, 10)
 
 
 _AL = """c AS (SELECT video_id, scene_id, f, arg_min(y, id) AS y, arg_min(b, id) AS b FROM (SELECT video_id, scene_id, anchor_frame AS f, mag_mean AS y, boundary_score AS b, id FROM ev WHERE video_id IS NOT NULL AND anchor_frame IS NOT NULL AND mag_mean IS NOT NULL) GROUP BY 1, 2, 3)"""

@@ -204,23 +204,49 @@ def picture_size(image: bytes, level: int = 6) -> int:
     return len(zlib.compress(image, level))
 
 
+TextModel = Callable[[list[str | None]], np.ndarray]
+
+
+def hashed_words(size: int = 64, prefix: str = "") -> TextModel:
+    """Gives texts' unit vectors of hashed words, in rows: a stand-in for a text model, in whose place it can be put.
+    Blank texts get zeros."""
+    import xxhash
+
+    class Places(dict):
+        """A word's place, beyond `size` if it counts down; each word is hashed once."""
+
+        def __missing__(self, w: str) -> int:
+            h = xxhash.xxh3_64_intdigest(w)
+            self[w] = place = h % size + (0 if h >> 63 else size)
+            return place
+
+    places = Places()
+
+    def run(texts: list[str | None]) -> np.ndarray:
+        found, lengths = [], []
+        for t in texts:
+            words = (prefix + (t or "")).lower().split()
+            found.extend(map(places.__getitem__, words))
+            lengths.append(len(words))
+        if len(places) > 200_000:
+            places.clear()
+        cells = np.repeat(np.arange(len(lengths)) * 2 * size, lengths) + np.array(found, np.int64)
+        v = np.bincount(cells, minlength=len(lengths) * 2 * size).reshape(len(lengths), 2, size)
+        v = (v[:, 0] - v[:, 1]).astype(float)
+        n = np.linalg.norm(v, axis=1, keepdims=True)
+        return v / np.where(n, n, 1)
+
+    return run
+
+
 def embed_text(text: str | Column, size: int = 64, prefix: str = "") -> Column:
-    """A unit vector of hashed words: a stand-in for a text model, in whose place it can be put. Blank texts get zeros."""
+    """The vectors of hashed_words."""
 
     @F.pandas_udf(ArrayType(DoubleType()))
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import xxhash
-
+        model = hashed_words(size, prefix)
         for part in parts:
-            rows = []
-            for t in part:
-                v = np.zeros(size)
-                for w in (prefix + (t or "")).lower().split():
-                    h = xxhash.xxh3_64_intdigest(w)
-                    v[h % size] += 1.0 if h >> 63 else -1.0
-                n = np.linalg.norm(v)
-                rows.append((v / n if n else v).tolist())
-            yield pd.Series(rows)
+            yield pd.Series(list(model(part.tolist())))
 
     return run(F.col(text) if isinstance(text, str) else text)
 
